@@ -68,7 +68,7 @@ def _star(spark: SparkSession, sf_dir: str, **limits: int) -> star.Star:
 
 def dim_city_extended(deliveries: DataFrame) -> DataFrame:
     """A first load numbers the cities of one month; the next load adds the rest."""
-    first = settle(star.dim_city(deliveries.where(F.col("order_date") < "1995-02-01"))).frame
+    first = star.dim_city(deliveries.where(F.col("order_date") < "1995-02-01")).frame
     return dimensions.extend_dimension(first, deliveries, "city", "city_key", "city_name")
 
 
@@ -79,7 +79,7 @@ def order_lines(wide: DataFrame) -> DataFrame:
 
 
 def dim_customers_sliced(wide: DataFrame) -> DataFrame:
-    return dimensions.split_entity(wide, star.CUSTOMER, "customer_id", window_rows=0)
+    return dimensions.split_entity(wide, star.CUSTOMER, "customer_id", window_rows=0).frame
 
 
 def price_parse(texts: DataFrame) -> DataFrame:
@@ -134,18 +134,16 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         staging.stg_restaurant_orders(messy.view(spark, sf_dir, messy.RESTAURANT_ORDERS)),
         "stg_restaurant_orders",
     ).frame
+    by_city = settle(marts.mart_city_summary(marts.int_orders_enriched(deliveries, weather)))
+    by_name = settle(marts.mart_restaurant_summary(marts.int_orders_by_restaurant(orders)))
     return suite.report(
         {
             "stg_deliveries": deliveries,
             "stg_weather": weather.frame,
             "stg_orders": orders,
             "stg_restaurant_orders": restaurant_orders,
-            "mart_city_summary": marts.mart_city_summary(
-                marts.int_orders_enriched(deliveries, weather)
-            ),
-            "mart_restaurant_summary": marts.mart_restaurant_summary(
-                marts.int_orders_by_restaurant(orders)
-            ),
+            "mart_city_summary": by_city.frame,
+            "mart_restaurant_summary": by_name.frame,
             "mart_restaurant_daily": marts.mart_restaurant_daily(restaurant_orders),
         }
     )
@@ -176,9 +174,9 @@ def history(deliveries: DataFrame) -> DataFrame:
         "amount", F.coalesce("amount", F.lit("0.00"))
     )
     first = merging.open_history(deliveries.where(F.col("order_date") < "2001-01-01"), 1)
-    return merging.snapshot(
-        merging.snapshot(first, second, "id", checked, 2), third, "id", checked, 3
-    )
+    # A snapshot reads the history twice, once for closed and once for open versions.
+    stored = settle(merging.snapshot(first, second, "id", checked, 2), "history").frame
+    return merging.snapshot(stored, third, "id", checked, 3)
 
 
 def file_round_trip(deliveries: DataFrame) -> DataFrame:
@@ -243,8 +241,8 @@ QUERIES: dict[str, Query] = {
     "above_city_average": _typed(analytics.above_city_average),
     "above_city_average_correlated": _typed(analytics.above_city_average_correlated),
     "dim_date": _tidy(lambda deliveries: star.dim_date_of(deliveries, "order_date")),
-    "dim_city": _tidy(star.dim_city),
-    "dim_status": _tidy(star.dim_status),
+    "dim_city": _tidy(lambda rows: star.dim_city(rows).frame),
+    "dim_status": _tidy(lambda rows: star.dim_status(rows).frame),
     "dim_city_extended": over(messy.DELIVERIES, dim_city_extended),
     "fact_orders": lambda s, d: _star(s, d).facts,
     "fact_orders_large_lookup": lambda s, d: _star(s, d, **SMALL_LIMITS).facts,
@@ -252,10 +250,10 @@ QUERIES: dict[str, Query] = {
     "wide_orders": lambda s, d: star.wide_orders(_star(s, d)),
     "delivered_normalized": lambda s, d: star.delivered_normalized(_star(s, d)),
     "delivered_wide": lambda s, d: star.delivered_wide(star.wide_orders(_star(s, d))),
-    "dim_customers": over(messy.WIDE_ORDERS, star.dim_customers),
+    "dim_customers": over(messy.WIDE_ORDERS, lambda wide: star.dim_customers(wide).frame),
     "dim_customers_sliced": over(messy.WIDE_ORDERS, dim_customers_sliced),
-    "dim_products": over(messy.WIDE_ORDERS, star.dim_products),
-    "dim_cities": over(messy.WIDE_ORDERS, star.dim_cities),
+    "dim_products": over(messy.WIDE_ORDERS, lambda wide: star.dim_products(wide).frame),
+    "dim_cities": over(messy.WIDE_ORDERS, lambda wide: star.dim_cities(wide).frame),
     "order_lines": over(messy.WIDE_ORDERS, order_lines),
     "dependency_report": over(
         messy.WIDE_ORDERS, dimensions.dependency_report, rules=star.DEPENDENCIES

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,15 +11,23 @@ from pyspark.sql import types as T
 from skyledger.functions.text import col
 
 # Fixed patterns. The first two say which texts count as numbers: Spark alone would also take
-# forms such as 1d, 1f and 0x1p3. The third finds a price; a sign counts only before a decimal.
+# forms such as 1d, 1f and 0x1p3. The third finds a price, in the digits of any script; a sign
+# counts only before a decimal.
 DECIMAL_TEXT = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|nan|inf|infinity)\s*$"
 WHOLE_TEXT = r"^\s*[+-]?\d+\s*$"
-PRICE_TEXT = r"[-+]?\d*\.\d+|\d+"
+PRICE_TEXT = r"(?U)[-+]?\d*\.\d+|\d+"
+
+# Decimal digits of every script in the basic plane, and the ASCII digit of each.
+DIGITS = "".join(chr(c) for c in range(0x80, 0x10000) if unicodedata.category(chr(c)) == "Nd")
+ASCII_DIGITS = "".join(str(unicodedata.decimal(d)) for d in DIGITS)
+
+
+def is_number(c: str | Column) -> Column:
+    return F.coalesce(col(c).rlike(DECIMAL_TEXT), F.lit(False))
 
 
 def to_double(c: str | Column) -> Column:
-    c = col(c)
-    return F.when(c.rlike(DECIMAL_TEXT), c.try_cast("double"))
+    return F.when(is_number(c), col(c).try_cast("double"))
 
 
 def to_whole(c: str | Column) -> Column:
@@ -35,6 +45,17 @@ def number(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
+def where_number(df: DataFrame, name: str) -> DataFrame:
+    """Rows whose column is a number, with the column as double.
+
+    The text is tested once, in the filter; parsing it first would test it again in the filter
+    that Spark pushes below the parsing.
+    """
+    if isinstance(df.schema[name].dataType, T.StringType):
+        return df.where(is_number(name)).withColumn(name, F.col(name).try_cast("double"))
+    return df.where(F.col(name).isNotNull()).withColumn(name, F.col(name).cast("double"))
+
+
 def price(df: DataFrame, name: str) -> Column:
     """First price-like number in a text; numbers pass through.
 
@@ -54,7 +75,9 @@ def price(df: DataFrame, name: str) -> Column:
 
 def price_text(c: str | Column) -> Column:
     found = F.regexp_extract(F.replace(col(c), F.lit(","), F.lit("")), PRICE_TEXT, 0)
-    return F.nullif(found, F.lit("")).try_cast("double")
+    is_ascii = F.length(found) == F.octet_length(found)
+    plain = F.when(is_ascii, found).otherwise(F.translate(found, DIGITS, ASCII_DIGITS))
+    return F.nullif(plain, F.lit("")).try_cast("double")
 
 
 def round_sql(c: Column, digits: int) -> Column:

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.bands import above, above_or_false
-from skyledger.functions.numbers import number, price
-from skyledger.functions.text import slug, sql_tidy, strip_lower
+from skyledger.functions.numbers import price, where_number
+from skyledger.functions.text import slug, sql_tidy, sql_trim, strip_lower
 from skyledger.operators.lookups import lookup_join
 from skyledger.operators.shared import Settled
 
@@ -22,10 +22,10 @@ ORDER_KEYS = ("id", "city", "amount", "status")
 def clean_orders(orders: DataFrame, threshold: float = HIGH_VALUE) -> DataFrame:
     """Dataframe rules: every whitespace trimmed, NaN counts as missing."""
     return (
-        orders.withColumns(
-            {"city": F.nullif(strip_lower("city"), F.lit("")), "amount": number(orders, "amount")}
-        )
-        .where(F.col("city").isNotNull() & F.col("amount").isNotNull() & ~F.isnan("amount"))
+        where_number(orders, "amount")
+        .where(~F.isnan("amount"))
+        .withColumn("city", strip_lower("city"))
+        .where(F.col("city") != "")
         .withColumn("is_high_value", above("amount", threshold))
     )
 
@@ -33,13 +33,8 @@ def clean_orders(orders: DataFrame, threshold: float = HIGH_VALUE) -> DataFrame:
 def clean_orders_sql(orders: DataFrame, threshold: float = HIGH_VALUE) -> DataFrame:
     """SQL rules: only spaces trimmed, NaN is a value."""
     return (
-        orders.select(
-            "id",
-            sql_tidy("city").alias("city"),
-            number(orders, "amount").alias("amount"),
-            "status",
-        )
-        .where(F.col("amount").isNotNull() & F.col("city").isNotNull() & (F.col("city") != ""))
+        where_number(orders.where(sql_trim("city") != ""), "amount")
+        .select("id", sql_tidy("city").alias("city"), "amount", "status")
         .withColumn("is_high_value", above_or_false("amount", threshold))
     )
 

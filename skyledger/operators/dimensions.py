@@ -9,21 +9,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.ordered import WINDOW_ROWS, with_row_number
-from skyledger.operators.shared import Settled
+from skyledger.operators.shared import Settled, settle
 
 
 def number_values(
     values: DataFrame | Settled, by: Sequence[str], key: str, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
-    """Key 1, 2, 3... in ascending order of the value, nulls last."""
-    columns = (values.frame if isinstance(values, Settled) else values).columns
+) -> Settled:
+    """Key 1, 2, 3... in ascending order of the value, nulls last.
+
+    The values are written once; their number is then known, and the keys follow from it lazily.
+    """
+    values = values if isinstance(values, Settled) else settle(values, "values")
     order = [F.asc_nulls_last(c) for c in by]
-    return with_row_number(values, [], order, key, window_rows).select(key, *columns)
+    numbered = with_row_number(values, [], order, key, window_rows)
+    return Settled(numbered.select(key, *values.frame.columns), values.rows)
 
 
 def distinct_dimension(
     df: DataFrame, column: str, key: str, name: str, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
+) -> Settled:
     values = df.select(F.col(column).alias(name)).distinct()
     return number_values(values, [name], key, window_rows)
 
@@ -37,13 +41,13 @@ def extend_dimension(
     values = df.select(F.col(column).alias(name)).distinct()
     fresh = values.join(seen, F.col(name).eqNullSafe(F.col("_seen")), "left_anti")
     last = existing.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
-    numbered = number_values(fresh, [name], key, window_rows)
+    numbered = number_values(fresh, [name], key, window_rows).frame
     return existing.unionByName(numbered.withColumn(key, F.col(key) + last))
 
 
 def split_entity(
     wide: DataFrame, columns: Mapping[str, str], key: str, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
+) -> Settled:
     """Distinct entity rows of a wide table under new names, with a surrogate key."""
     entity = wide.select(*(F.col(old).alias(new) for old, new in columns.items())).distinct()
     return number_values(entity, list(columns.values()), key, window_rows)

@@ -48,7 +48,8 @@ def analyse_files(
     spark: SparkSession, orders_csv: str, readings_json: str, out_csv: str, lines: bool = True
 ) -> DataFrame:
     """Orders file and readings file to one enriched CSV folder."""
-    orders = files.read_csv(spark, orders_csv, schemas.ORDERS_RAW)
+    columns = schemas.ORDERS_RAW.fieldNames()
+    orders = files.read_csv_text(spark, orders_csv, columns, files.MISSING_TEXTS)
     readings = files.read_json(spark, readings_json, schemas.READINGS, lines)
     enriched = orders_with_weather(orders, readings)
     write_csv(enriched, out_csv)
@@ -99,9 +100,9 @@ def load_star(deliveries: DataFrame, root: str) -> star.Star:
 def load_entities(wide: DataFrame, root: str) -> dict[str, int]:
     """Write customers, products and cities; returns the rows of each table."""
     built = {
-        "dim_customers": (star.dim_customers(wide), "customer_id"),
-        "dim_products": (star.dim_products(wide), "product_id"),
-        "dim_cities": (star.dim_cities(wide), "city_id"),
+        "dim_customers": (star.dim_customers(wide).frame, "customer_id"),
+        "dim_products": (star.dim_products(wide).frame, "product_id"),
+        "dim_cities": (star.dim_cities(wide).frame, "city_id"),
     }
     return {
         name: replace_table(frame, table_path(root, name), key=(key,))

@@ -6,8 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.functions.bands import above, order_tier
-from skyledger.functions.numbers import cents_to_dollars, number, to_double, to_whole
-from skyledger.functions.text import sql_tidy
+from skyledger.functions.numbers import (
+    cents_to_dollars,
+    number,
+    to_double,
+    to_whole,
+    where_number,
+)
+from skyledger.functions.text import sql_tidy, sql_trim
 from skyledger.operators.cleaning import HIGH_VALUE
 
 RESTAURANT_HIGH_VALUE = 80
@@ -21,14 +27,14 @@ def stg_deliveries(
     The tier reads the parsed amount: the source may keep amounts as text.
     """
     return (
-        deliveries.select(
+        where_number(deliveries.where(sql_trim("city") != ""), "amount")
+        .select(
             F.col("id").alias("delivery_id"),
             sql_tidy("city").alias("city"),
             sql_tidy("status").alias("status"),
-            number(deliveries, "amount").alias("amount"),
+            "amount",
             F.col("order_date").cast("date").alias("order_date"),
         )
-        .where(F.col("amount").isNotNull() & F.col("city").isNotNull() & (F.col("city") != ""))
         .withColumns(
             {
                 "is_high_value": above("amount", threshold),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.functions.bands import above
-from skyledger.functions.dates import calendar_parts, day_series, days_of
+from skyledger.functions.dates import calendar_parts, day_series, days_between, days_of
 from skyledger.functions.numbers import number, round_sql
 from skyledger.functions.sums import exact_avg, exact_sum
 from skyledger.operators.cleaning import HIGH_VALUE
@@ -30,11 +30,11 @@ def dim_date_of(df: DataFrame, column: str) -> DataFrame:
     return with_calendar(days_of(df.select(F.col(column).cast("date").alias(column)), column))
 
 
-def dim_city(deliveries: DataFrame) -> DataFrame:
+def dim_city(deliveries: DataFrame) -> Settled:
     return distinct_dimension(deliveries, "city", "city_key", "city_name")
 
 
-def dim_status(deliveries: DataFrame) -> DataFrame:
+def dim_status(deliveries: DataFrame) -> Settled:
     return distinct_dimension(deliveries, "status", "status_key", "status_name")
 
 
@@ -86,9 +86,16 @@ class Star:
 
 
 def build_star(deliveries: DataFrame, **limits: int) -> Star:
-    dates = settle(dim_date_of(deliveries, "order_date"), "dim_date")
-    cities = settle(dim_city(deliveries), "dim_city")
-    statuses = settle(dim_status(deliveries), "dim_status")
+    """All dimensions come from one pass over the deliveries, the facts from a second one."""
+    day = F.col("order_date").cast("date")
+    found = settle(
+        deliveries.groupBy("city", "status").agg(F.min(day).alias("first"), F.max(day).alias("last")),
+        "star_values",
+    ).frame
+    bounds = found.agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    days = days_between(bounds, F.col("first"), F.col("last"))
+    dates = settle(with_calendar(days), "dim_date")
+    cities, statuses = dim_city(found), dim_status(found)
     return Star(
         fact_orders(deliveries, dates, cities, statuses, **limits), dates, cities, statuses
     )
@@ -161,30 +168,25 @@ DEPENDENCIES = (
 )
 
 
-def dim_customers(wide: DataFrame) -> DataFrame:
+def dim_customers(wide: DataFrame) -> Settled:
     return split_entity(wide, CUSTOMER, "customer_id")
 
 
-def dim_products(wide: DataFrame) -> DataFrame:
+def dim_products(wide: DataFrame) -> Settled:
     return split_entity(wide, PRODUCT, "product_id")
 
 
-def dim_cities(wide: DataFrame) -> DataFrame:
+def dim_cities(wide: DataFrame) -> Settled:
     return split_entity(wide, PLACE, "city_id")
 
 
 def order_lines(
-    wide: DataFrame,
-    customers: DataFrame | Settled,
-    products: DataFrame | Settled,
-    cities: DataFrame | Settled,
-    **limits: int,
+    wide: DataFrame, customers: Settled, products: Settled, cities: Settled, **limits: int
 ) -> DataFrame:
     """What is left of the wide table once customers, products and cities are keys."""
     rows = wide
     for entity, table in ((CUSTOMER, customers), (PRODUCT, products), (PLACE, cities)):
         back = {new: old for old, new in entity.items()}
-        table = table if isinstance(table, Settled) else settle(table, "entity")
         renamed = Settled(table.frame.withColumnsRenamed(back), table.rows)
         rows = lookup_join(rows, renamed, list(entity), null_safe=True, **limits).drop(*entity)
     return rows.select("order_id", "customer_id", "product_id", "city_id", "quantity", "order_date")

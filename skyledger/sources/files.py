@@ -14,16 +14,28 @@ from skyledger.functions.text import blank_to_null
 CSV_TEXT = {"quote": '"', "escape": '"'}
 
 
+# Cells that dataframe readers take as missing.
+MISSING_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
 def read_csv_text(
-    spark: SparkSession, path: str, columns: Sequence[str], line_breaks: bool = False
+    spark: SparkSession,
+    path: str,
+    columns: Sequence[str],
+    missing: Sequence[str] = (),
+    line_breaks: bool = False,
 ) -> DataFrame:
-    """Every cell as text; blank cells become null, other cells keep their spaces.
+    """Every cell as text; blank cells and `missing` texts become null, others keep their spaces.
 
     Cells with line breaks need `line_breaks`, at the price of files that cannot be split.
     """
     schema = StructType([StructField(c, StringType()) for c in columns])
     raw = spark.read.schema(schema).csv(path, header=True, multiLine=line_breaks, **CSV_TEXT)
-    return raw.select(*(blank_to_null(c).alias(c) for c in columns))
+    cells = {c: F.when(~F.col(c).isin(*missing), F.col(c)) if missing else c for c in columns}
+    return raw.select(*(blank_to_null(cell).alias(c) for c, cell in cells.items()))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

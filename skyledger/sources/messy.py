@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Readings per payload are bounded by this many events, however many readings a city has.
 PAYLOAD_EVENTS = 1800
@@ -112,11 +113,20 @@ JOIN {region} ON n_regionkey = r_regionkey JOIN {part} ON l_partkey = p_partkey
 """
 
 
+_known: dict[str, StructType] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Its schema is read from the file once, as a catalog would keep it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _known:
+        _known[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_known[path]).parquet(path)
+
+
 def view(spark: SparkSession, sf_dir: str, statement: str) -> DataFrame:
     used = [t for t in TABLES if "{" + t + "}" in statement]
-    return spark.sql(
-        statement, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used}
-    )
+    return spark.sql(statement, **{t: table(spark, sf_dir, t) for t in used})
 
 
 def plain(statement: str) -> str:
@@ -129,7 +139,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Every third block lacks its last temperature, so the two arrays differ in length.
     """
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = table(spark, sf_dir, "events")
     reading = F.struct(
         "event_id",
         F.col("ts").cast("string").alias("time"),
