@@ -75,9 +75,7 @@ def price(df: DataFrame, name: str) -> Column:
 
 def price_text(c: str | Column) -> Column:
     found = F.regexp_extract(F.replace(col(c), F.lit(","), F.lit("")), PRICE_TEXT, 0)
-    is_ascii = F.length(found) == F.octet_length(found)
-    plain = F.when(is_ascii, found).otherwise(F.translate(found, DIGITS, ASCII_DIGITS))
-    return F.nullif(plain, F.lit("")).try_cast("double")
+    return F.translate(found, DIGITS, ASCII_DIGITS).try_cast("double")
 
 
 def round_sql(c: Column, digits: int) -> Column:

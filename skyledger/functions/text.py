@@ -11,11 +11,11 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The Unicode space separators, which SQL TRIM removes; all lie in the basic plane.
-SPACE_SEPARATORS = "".join(
-    chr(code) for code in range(0x10000) if unicodedata.category(chr(code)) == "Zs"
-)
-EDGE_WHITESPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# All of these lie in the basic plane. SQL TRIM removes the space separators, dataframe rules
+# every whitespace character.
+BASIC_PLANE = [chr(code) for code in range(0x10000)]
+SPACE_SEPARATORS = "".join(c for c in BASIC_PLANE if unicodedata.category(c) == "Zs")
+WHITESPACE = "".join(c for c in BASIC_PLANE if c.isspace())
 
 
 def col(c: str | Column) -> Column:
@@ -34,7 +34,7 @@ def sql_tidy(c: str | Column) -> Column:
 
 
 def strip(c: str | Column) -> Column:
-    return F.regexp_replace(col(c), EDGE_WHITESPACE, "")
+    return F.trim(col(c), F.lit(WHITESPACE))
 
 
 def strip_lower(c: str | Column) -> Column:

@@ -77,8 +77,8 @@ def judge_orders(
     return orders.withColumns({"_price": parsed, "_slug": slug("city")}).withColumn(
         "reason",
         F.when(F.size(keys) > 0, F.concat(F.lit("Missing required keys: "), F.array_join(keys, ", ")))
-        .when(F.col("_price").isNull() | (F.col("_price") == 0), F.lit("No usable amount"))
-        .when(F.col("_slug").isNull(), F.lit("No city")),
+        .when(F.coalesce("_price", F.lit(0.0)) == 0, F.lit("No usable amount"))
+        .when(F.col("city").isNull(), F.lit("No city")),
     )
 
 
