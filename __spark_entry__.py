@@ -9,7 +9,6 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -21,7 +20,7 @@ from skyledger import schemas
 from skyledger.functions.numbers import price
 from skyledger.functions.text import blank_to_null, slug
 from skyledger.operators import cleaning, dimensions, merging
-from skyledger.operators.profile import column_profile
+from skyledger.operators.profile import column_profiles
 from skyledger.operators.shared import scratch_path, settle
 from skyledger.plans import analytics, jobs, marts, staging, star, suite
 from skyledger.plans.weather import aggregate_weather, weather_summary
@@ -73,11 +72,17 @@ def dim_city_extended(deliveries: DataFrame) -> DataFrame:
 
 
 def order_lines(wide: DataFrame) -> DataFrame:
+    wide = settle(wide, "wide_orders").frame  # read four times below
     return star.order_lines(
         wide, star.dim_customers(wide), star.dim_products(wide), star.dim_cities(wide)
     )
 
 
+def dependency_report(wide: DataFrame) -> DataFrame:
+    stored = settle(wide, "wide_orders").frame  # read once per rule
+    return dimensions.dependency_report(stored, star.DEPENDENCIES)
+
+
 def dim_customers_sliced(wide: DataFrame) -> DataFrame:
     return dimensions.split_entity(wide, star.CUSTOMER, "customer_id", window_rows=0).frame
 
@@ -99,11 +104,6 @@ def valid_failed_split(deliveries: DataFrame) -> DataFrame:
     return labelled.select("id", F.col("city").isNotNull().alias("has_city"), "is_valid")
 
 
-def profiles(deliveries: DataFrame) -> DataFrame:
-    parts = [column_profile(deliveries, c, "id") for c in ("city", "status", "amount")]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def city_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = messy.view(spark, sf_dir, messy.REQUESTS)
     return cleaning.resolve_cities(requests, messy.view(spark, sf_dir, messy.CITY_REGISTRY))
@@ -255,15 +255,15 @@ QUERIES: dict[str, Query] = {
     "dim_products": over(messy.WIDE_ORDERS, lambda wide: star.dim_products(wide).frame),
     "dim_cities": over(messy.WIDE_ORDERS, lambda wide: star.dim_cities(wide).frame),
     "order_lines": over(messy.WIDE_ORDERS, order_lines),
-    "dependency_report": over(
-        messy.WIDE_ORDERS, dimensions.dependency_report, rules=star.DEPENDENCIES
-    ),
+    "dependency_report": over(messy.WIDE_ORDERS, dependency_report),
     "price_parse": over(messy.TEXTS, price_parse),
     "slug": over(messy.TEXTS, slugs),
     "process_orders": over(messy.DELIVERIES, cleaning.process_orders),
     "rejected_orders": over(messy.DELIVERIES, cleaning.rejected_orders),
     "valid_failed_split": over(messy.DELIVERIES, valid_failed_split),
-    "column_profile": over(messy.DELIVERIES, profiles),
+    "column_profile": over(
+        messy.DELIVERIES, column_profiles, columns=["city", "status", "amount"], position="id"
+    ),
     "city_registry": city_registry,
     "city_registry_unknown": city_registry_unknown,
     "payload_flatten": payload_flatten,

@@ -22,7 +22,8 @@ def number_values(
     values = values if isinstance(values, Settled) else settle(values, "values")
     order = [F.asc_nulls_last(c) for c in by]
     numbered = with_row_number(values, [], order, key, window_rows)
-    return Settled(numbered.select(key, *values.frame.columns), values.rows)
+    size = values.size + 8 * values.rows
+    return Settled(numbered.select(key, *values.frame.columns), values.rows, size)
 
 
 def distinct_dimension(

@@ -1,7 +1,7 @@
 """Joins of a large frame to a lookup that has at most one row per key.
 
-The lookup is written first, so its row count is known. Up to a limit it is broadcast and the
-large side is not shuffled at all. Beyond the limit the join shuffles, and keys that hold too
+The lookup is written first, so its rows and bytes are known. Up to a limit it is broadcast and
+the large side is not shuffled at all. Beyond the limit the join shuffles, and keys that hold too
 many rows of the large side are taken out and joined by broadcast instead, so that no key can
 fill one task.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from skyledger.operators.shared import Settled, settle
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 2_000_000
 MOST_HOT_KEYS = 100_000
 
@@ -37,7 +38,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join on equally named keys. With `null_safe`, null keys match each other."""
     lookup = as_settled(lookup)
-    if lookup.rows <= broadcast_rows:
+    if lookup.rows <= broadcast_rows and lookup.size <= BROADCAST_BYTES:
         return _join(large, F.broadcast(lookup.frame), keys, how, null_safe)
 
     counts = settle(large.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key_counts").frame

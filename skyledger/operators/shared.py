@@ -9,17 +9,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 
 @dataclass(frozen=True)
 class Settled:
-    """A table on shared storage and the number of rows written to it."""
+    """A table on shared storage, with the rows and (roughly) the bytes written to it."""
 
     frame: DataFrame
     rows: int
+    size: int
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,8 +44,21 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame, label: str = "table") -> Settled:
+    """Write a frame to the shared folder. Rows and bytes are counted while it is written."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     written = Observation()
-    df.observe(written, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return Settled(spark.read.schema(df.schema).parquet(path), written.get["rows"])
+    df.observe(
+        written,
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("size"),
+    ).write.parquet(path)
+    frame = spark.read.schema(df.schema).parquet(path)
+    return Settled(frame, written.get["rows"], written.get["size"])
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Length of the texts of a row plus eight bytes for each other column."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
+    fixed = F.lit(8 * (len(df.columns) - len(texts))).cast("bigint")
+    return reduce(add, (F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), fixed)

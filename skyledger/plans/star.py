@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +71,7 @@ def fact_orders(
 
 def _only(table: DataFrame | Settled, *columns: str) -> DataFrame | Settled:
     if isinstance(table, Settled):
-        return Settled(table.frame.select(*columns), table.rows)
+        return replace(table, frame=table.frame.select(*columns))
     return table.select(*columns)
 
 
@@ -187,6 +187,6 @@ def order_lines(
     rows = wide
     for entity, table in ((CUSTOMER, customers), (PRODUCT, products), (PLACE, cities)):
         back = {new: old for old, new in entity.items()}
-        renamed = Settled(table.frame.withColumnsRenamed(back), table.rows)
+        renamed = replace(table, frame=table.frame.withColumnsRenamed(back))
         rows = lookup_join(rows, renamed, list(entity), null_safe=True, **limits).drop(*entity)
     return rows.select("order_id", "customer_id", "product_id", "city_id", "quantity", "order_date")

@@ -43,6 +43,18 @@ def test_lookup_paths_agree(skewed, lookup, how, null_safe, hot_rows):
     assert rows(plain) == rows(split)
 
 
+def test_a_lookup_with_few_but_wide_rows_is_not_broadcast(spark, skewed, monkeypatch):
+    from skyledger.operators import lookups
+
+    wide = spark.createDataFrame([("hot", "x" * 5000)], "key string, value string")
+    known = lookups.as_settled(wide)
+    assert (known.rows, known.size) == (1, 5003)
+    monkeypatch.setattr(lookups, "BROADCAST_BYTES", 4096)
+    split = lookup_join(skewed, known, ["key"], hot_rows=100)
+    assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert split.where("value is not null").count() == 1000
+
+
 def test_hot_keys_do_not_reach_the_shuffled_join(skewed, lookup):
     split = lookup_join(skewed, lookup, ["key"], broadcast_rows=0, hot_rows=100)
     plan = split._jdf.queryExecution().optimizedPlan().toString()
