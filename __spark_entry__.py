@@ -21,7 +21,7 @@ from skyledger.functions.numbers import price
 from skyledger.functions.text import blank_to_null, slug
 from skyledger.operators import cleaning, dimensions, merging
 from skyledger.operators.profile import column_profiles
-from skyledger.operators.shared import scratch_path, settle
+from skyledger.operators.shared import scratch_path, settle, settle_all
 from skyledger.plans import analytics, jobs, marts, staging, star, suite
 from skyledger.plans.weather import aggregate_weather, weather_summary
 from skyledger.sources import files, messy, payloads
@@ -72,10 +72,8 @@ def dim_city_extended(deliveries: DataFrame) -> DataFrame:
 
 
 def order_lines(wide: DataFrame) -> DataFrame:
-    wide = settle(wide, "wide_orders").frame  # read four times below
-    return star.order_lines(
-        wide, star.dim_customers(wide), star.dim_products(wide), star.dim_cities(wide)
-    )
+    stored = settle(wide, "wide_orders").frame  # read four times below
+    return star.order_lines(stored, *star.all_entities(stored))
 
 
 def dependency_report(wide: DataFrame) -> DataFrame:
@@ -120,33 +118,22 @@ def payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged tables and marts are written once, then all checks read what was written."""
-    deliveries = settle(
-        staging.stg_deliveries(messy.view(spark, sf_dir, messy.DELIVERIES)), "stg_deliveries"
-    ).frame
-    weather = settle(
-        staging.stg_weather(weather_summary(messy.view(spark, sf_dir, messy.WEATHER))),
-        "stg_weather",
+    staged = settle_all(
+        stg_deliveries=staging.stg_deliveries(messy.view(spark, sf_dir, messy.DELIVERIES)),
+        stg_weather=staging.stg_weather(weather_summary(messy.view(spark, sf_dir, messy.WEATHER))),
+        stg_orders=staging.stg_orders(messy.view(spark, sf_dir, messy.RAW_ORDERS)),
+        stg_restaurant_orders=staging.stg_restaurant_orders(
+            messy.view(spark, sf_dir, messy.RESTAURANT_ORDERS)
+        ),
     )
-    orders = settle(
-        staging.stg_orders(messy.view(spark, sf_dir, messy.RAW_ORDERS)), "stg_orders"
-    ).frame
-    restaurant_orders = settle(
-        staging.stg_restaurant_orders(messy.view(spark, sf_dir, messy.RESTAURANT_ORDERS)),
-        "stg_restaurant_orders",
-    ).frame
-    by_city = settle(marts.mart_city_summary(marts.int_orders_enriched(deliveries, weather)))
-    by_name = settle(marts.mart_restaurant_summary(marts.int_orders_by_restaurant(orders)))
-    return suite.report(
-        {
-            "stg_deliveries": deliveries,
-            "stg_weather": weather.frame,
-            "stg_orders": orders,
-            "stg_restaurant_orders": restaurant_orders,
-            "mart_city_summary": by_city.frame,
-            "mart_restaurant_summary": by_name.frame,
-            "mart_restaurant_daily": marts.mart_restaurant_daily(restaurant_orders),
-        }
+    enriched = marts.int_orders_enriched(staged["stg_deliveries"].frame, staged["stg_weather"])
+    by_restaurant_name = marts.int_orders_by_restaurant(staged["stg_orders"].frame)
+    built = settle_all(
+        mart_city_summary=marts.mart_city_summary(enriched),
+        mart_restaurant_summary=marts.mart_restaurant_summary(by_restaurant_name),
+        mart_restaurant_daily=marts.mart_restaurant_daily(staged["stg_restaurant_orders"].frame),
     )
+    return suite.report({name: table.frame for name, table in {**staged, **built}.items()})
 
 
 def upsert(deliveries: DataFrame) -> DataFrame:

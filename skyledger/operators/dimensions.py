@@ -26,11 +26,14 @@ def number_values(
     return Settled(numbered.select(key, *values.frame.columns), values.rows, size)
 
 
+def distinct_values(df: DataFrame, column: str, name: str) -> DataFrame:
+    return df.select(F.col(column).alias(name)).distinct()
+
+
 def distinct_dimension(
     df: DataFrame, column: str, key: str, name: str, window_rows: int = WINDOW_ROWS
 ) -> Settled:
-    values = df.select(F.col(column).alias(name)).distinct()
-    return number_values(values, [name], key, window_rows)
+    return number_values(distinct_values(df, column, name), [name], key, window_rows)
 
 
 def extend_dimension(
@@ -39,19 +42,21 @@ def extend_dimension(
 ) -> DataFrame:
     """Keep every key already given out; number only values not seen before, after the last key."""
     seen = existing.select(F.col(name).alias("_seen"))
-    values = df.select(F.col(column).alias(name)).distinct()
-    fresh = values.join(seen, F.col(name).eqNullSafe(F.col("_seen")), "left_anti")
+    fresh = distinct_values(df, column, name).join(seen, F.col(name).eqNullSafe(F.col("_seen")), "left_anti")
     last = existing.agg(F.coalesce(F.max(key), F.lit(0))).scalar()
     numbered = number_values(fresh, [name], key, window_rows).frame
     return existing.unionByName(numbered.withColumn(key, F.col(key) + last))
 
 
+def entity_values(wide: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    return wide.select(*(F.col(old).alias(new) for old, new in columns.items())).distinct()
+
+
 def split_entity(
     wide: DataFrame, columns: Mapping[str, str], key: str, window_rows: int = WINDOW_ROWS
 ) -> Settled:
     """Distinct entity rows of a wide table under new names, with a surrogate key."""
-    entity = wide.select(*(F.col(old).alias(new) for old, new in columns.items())).distinct()
-    return number_values(entity, list(columns.values()), key, window_rows)
+    return number_values(entity_values(wide, columns), list(columns.values()), key, window_rows)
 
 
 def dependency_report(wide: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:

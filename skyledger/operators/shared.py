@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
@@ -57,6 +59,15 @@ def settle(df: DataFrame, label: str = "table") -> Settled:
     return Settled(frame, written.get["rows"], written.get["size"])
 
 
+def settle_all(**frames: DataFrame) -> dict[str, Settled]:
+    """Settle frames that do not depend on each other at the same time."""
+    spark = next(iter(frames.values())).sparkSession
+    write = inheritable_thread_target(spark)(settle)
+    with ThreadPoolExecutor(len(frames)) as pool:
+        writes = {label: pool.submit(write, df, label) for label, df in frames.items()}
+        return {label: write.result() for label, write in writes.items()}
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """Length of the texts of a row plus eight bytes for each other column."""
     texts = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]

@@ -99,10 +99,11 @@ def load_star(deliveries: DataFrame, root: str) -> star.Star:
 
 def load_entities(wide: DataFrame, root: str) -> dict[str, int]:
     """Write customers, products and cities; returns the rows of each table."""
+    customers, products, cities = star.all_entities(settle(wide, "wide_orders").frame)
     built = {
-        "dim_customers": (star.dim_customers(wide).frame, "customer_id"),
-        "dim_products": (star.dim_products(wide).frame, "product_id"),
-        "dim_cities": (star.dim_cities(wide).frame, "city_id"),
+        "dim_customers": (customers.frame, "customer_id"),
+        "dim_products": (products.frame, "product_id"),
+        "dim_cities": (cities.frame, "city_id"),
     }
     return {
         name: replace_table(frame, table_path(root, name), key=(key,))

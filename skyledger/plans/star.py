@@ -12,9 +12,15 @@ from skyledger.functions.dates import calendar_parts, day_series, days_between,
 from skyledger.functions.numbers import number, round_sql
 from skyledger.functions.sums import exact_avg, exact_sum
 from skyledger.operators.cleaning import HIGH_VALUE
-from skyledger.operators.dimensions import distinct_dimension, split_entity
+from skyledger.operators.dimensions import (
+    distinct_dimension,
+    distinct_values,
+    entity_values,
+    number_values,
+    split_entity,
+)
 from skyledger.operators.lookups import lookup_join
-from skyledger.operators.shared import Settled, settle
+from skyledger.operators.shared import Settled, settle, settle_all
 
 
 def with_calendar(days: DataFrame) -> DataFrame:
@@ -94,8 +100,14 @@ def build_star(deliveries: DataFrame, **limits: int) -> Star:
     ).frame
     bounds = found.agg(F.min("first").alias("first"), F.max("last").alias("last"))
     days = days_between(bounds, F.col("first"), F.col("last"))
-    dates = settle(with_calendar(days), "dim_date")
-    cities, statuses = dim_city(found), dim_status(found)
+    settled = settle_all(
+        dates=with_calendar(days),
+        cities=distinct_values(found, "city", "city_name"),
+        statuses=distinct_values(found, "status", "status_name"),
+    )
+    dates = settled["dates"]
+    cities = number_values(settled["cities"], ["city_name"], "city_key")
+    statuses = number_values(settled["statuses"], ["status_name"], "status_key")
     return Star(
         fact_orders(deliveries, dates, cities, statuses, **limits), dates, cities, statuses
     )
@@ -180,6 +192,20 @@ def dim_cities(wide: DataFrame) -> Settled:
     return split_entity(wide, PLACE, "city_id")
 
 
+def all_entities(wide: DataFrame) -> tuple[Settled, Settled, Settled]:
+    """Customers, products and cities of a stored wide table."""
+    settled = settle_all(
+        customers=entity_values(wide, CUSTOMER),
+        products=entity_values(wide, PRODUCT),
+        cities=entity_values(wide, PLACE),
+    )
+    return (
+        number_values(settled["customers"], list(CUSTOMER.values()), "customer_id"),
+        number_values(settled["products"], list(PRODUCT.values()), "product_id"),
+        number_values(settled["cities"], list(PLACE.values()), "city_id"),
+    )
+
+
 def order_lines(
     wide: DataFrame, customers: Settled, products: Settled, cities: Settled, **limits: int
 ) -> DataFrame:
