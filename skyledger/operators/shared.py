@@ -8,16 +8,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from operator import add
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class Settled:
@@ -59,13 +63,17 @@ def settle(df: DataFrame, label: str = "table") -> Settled:
     return Settled(frame, written.get["rows"], written.get["size"])
 
 
+def together(spark: SparkSession, *actions: Callable[[], T]) -> list[T]:
+    """Run actions that do not depend on each other at the same time; results in their order."""
+    run = inheritable_thread_target(spark)(lambda action: action())
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return list(pool.map(run, actions))
+
+
 def settle_all(**frames: DataFrame) -> dict[str, Settled]:
-    """Settle frames that do not depend on each other at the same time."""
     spark = next(iter(frames.values())).sparkSession
-    write = inheritable_thread_target(spark)(settle)
-    with ThreadPoolExecutor(len(frames)) as pool:
-        writes = {label: pool.submit(write, df, label) for label, df in frames.items()}
-        return {label: write.result() for label, write in writes.items()}
+    actions = [partial(settle, df, label) for label, df in frames.items()]
+    return dict(zip(frames, together(spark, *actions)))
 
 
 def _row_bytes(df: DataFrame) -> Column:

@@ -82,9 +82,16 @@ def warehouse_enriched(spark: SparkSession, root: str) -> DataFrame:
 
 
 def load_star(deliveries: DataFrame, root: str) -> star.Star:
-    """Write the four tables of the star and return it on top of what was written."""
+    """Write the four tables of the star and return it on top of what was written.
+
+    City and status keys of earlier loads stay as they are.
+    """
     spark = deliveries.sparkSession
-    built = star.build_star(deliveries)
+    built = star.build_star(
+        deliveries,
+        read_table(spark, table_path(root, "dim_city"), schemas.DIM_CITY),
+        read_table(spark, table_path(root, "dim_status"), schemas.DIM_STATUS),
+    )
     tables = {
         "dim_date": (built.dates.frame, "date_key"),
         "dim_city": (built.cities.frame, "city_key"),

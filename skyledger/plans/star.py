@@ -12,15 +12,9 @@ from skyledger.functions.dates import calendar_parts, day_series, days_between,
 from skyledger.functions.numbers import number, round_sql
 from skyledger.functions.sums import exact_avg, exact_sum
 from skyledger.operators.cleaning import HIGH_VALUE
-from skyledger.operators.dimensions import (
-    distinct_dimension,
-    distinct_values,
-    entity_values,
-    number_values,
-    split_entity,
-)
+from skyledger.operators.dimensions import distinct_dimension, extend_dimension, split_entity
 from skyledger.operators.lookups import lookup_join
-from skyledger.operators.shared import Settled, settle, settle_all
+from skyledger.operators.shared import Settled, settle, together
 
 
 def with_calendar(days: DataFrame) -> DataFrame:
@@ -91,8 +85,16 @@ class Star:
     statuses: Settled
 
 
-def build_star(deliveries: DataFrame, **limits: int) -> Star:
-    """All dimensions come from one pass over the deliveries, the facts from a second one."""
+def build_star(
+    deliveries: DataFrame,
+    known_cities: DataFrame | None = None,
+    known_statuses: DataFrame | None = None,
+    **limits: int,
+) -> Star:
+    """All dimensions come from one pass over the deliveries, the facts from a second one.
+
+    Dimensions of an earlier load may be given; their keys are then kept and new ones added.
+    """
     day = F.col("order_date").cast("date")
     found = settle(
         deliveries.groupBy("city", "status").agg(F.min(day).alias("first"), F.max(day).alias("last")),
@@ -100,19 +102,25 @@ def build_star(deliveries: DataFrame, **limits: int) -> Star:
     ).frame
     bounds = found.agg(F.min("first").alias("first"), F.max("last").alias("last"))
     days = days_between(bounds, F.col("first"), F.col("last"))
-    settled = settle_all(
-        dates=with_calendar(days),
-        cities=distinct_values(found, "city", "city_name"),
-        statuses=distinct_values(found, "status", "status_name"),
+    dates, cities, statuses = together(
+        deliveries.sparkSession,
+        lambda: settle(with_calendar(days), "dim_date"),
+        lambda: _dimension(found, "city", "city_key", "city_name", known_cities),
+        lambda: _dimension(found, "status", "status_key", "status_name", known_statuses),
     )
-    dates = settled["dates"]
-    cities = number_values(settled["cities"], ["city_name"], "city_key")
-    statuses = number_values(settled["statuses"], ["status_name"], "status_key")
     return Star(
         fact_orders(deliveries, dates, cities, statuses, **limits), dates, cities, statuses
     )
 
 
+def _dimension(
+    found: DataFrame, column: str, key: str, name: str, known: DataFrame | None
+) -> Settled:
+    if known is None:
+        return distinct_dimension(found, column, key, name)
+    return settle(extend_dimension(known, found, column, key, name), key)
+
+
 def _with_city_and_status(star: Star, **limits: int) -> DataFrame:
     joined = lookup_join(star.facts, star.cities, ["city_key"], **limits)
     return lookup_join(joined, star.statuses, ["status_key"], **limits)
@@ -194,16 +202,13 @@ def dim_cities(wide: DataFrame) -> Settled:
 
 def all_entities(wide: DataFrame) -> tuple[Settled, Settled, Settled]:
     """Customers, products and cities of a stored wide table."""
-    settled = settle_all(
-        customers=entity_values(wide, CUSTOMER),
-        products=entity_values(wide, PRODUCT),
-        cities=entity_values(wide, PLACE),
-    )
-    return (
-        number_values(settled["customers"], list(CUSTOMER.values()), "customer_id"),
-        number_values(settled["products"], list(PRODUCT.values()), "product_id"),
-        number_values(settled["cities"], list(PLACE.values()), "city_id"),
+    customers, products, cities = together(
+        wide.sparkSession,
+        lambda: dim_customers(wide),
+        lambda: dim_products(wide),
+        lambda: dim_cities(wide),
     )
+    return customers, products, cities
 
 
 def order_lines(

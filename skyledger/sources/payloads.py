@@ -10,7 +10,11 @@ from skyledger.functions.text import col
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """All landed files in one scan; each line is one payload."""
+    """All landed files in one scan; each line is one payload.
+
+    The city is a field of the payload, or comes from the path when files land in folders named
+    `city=<name>`.
+    """
     return spark.read.schema(schemas.PAYLOAD).json(path, mode="FAILFAST")
 
 
@@ -23,6 +27,16 @@ def zip_shortest(left: str | Column, right: str | Column) -> Column:
     )
 
 
+def is_broken() -> Column:
+    """A payload without one of its two arrays has no readings to give."""
+    return F.col("hourly.time").isNull() | F.col("hourly.temperature_2m").isNull()
+
+
+def failed_cities(payloads: DataFrame) -> DataFrame:
+    """Cities whose payload is broken; all others are still read."""
+    return payloads.where(is_broken()).select("city").distinct()
+
+
 def flatten_payloads(payloads: DataFrame) -> DataFrame:
     """One reading per row, tagged with the city of its payload."""
     return payloads.select("city", F.inline(zip_shortest("hourly.time", "hourly.temperature_2m")))

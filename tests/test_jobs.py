@@ -149,6 +149,19 @@ def test_payloads(spark, tmp_path):
     assert rows(spark.read.csv(report, header=True)) == [("cairo", "1.0", "1.0", "1.0", "1")]
 
 
+def test_broken_payloads_are_reported_and_the_rest_is_read(spark, tmp_path):
+    for city, text in {
+        "Cairo": '{"hourly": {"time": ["t1"], "temperature_2m": [1.5]}}',
+        "Dubai": '{"error": true}',
+        "Riyadh": '{"hourly": {"time": ["t1"]}}',
+    }.items():
+        (tmp_path / f"city={city}").mkdir()
+        (tmp_path / f"city={city}" / "a.json").write_text(text)
+    read = payloads.read_payloads(spark, str(tmp_path))
+    assert rows(payloads.flatten_payloads(read)) == [("Cairo", "t1", 1.5)]
+    assert rows(payloads.failed_cities(read)) == [("Dubai",), ("Riyadh",)]
+
+
 def test_analysis_of_files(spark, orders_csv, tmp_path):
     readings = tmp_path / "weather.json"
     readings.write_text(json.dumps(
@@ -222,6 +235,12 @@ def test_star_and_entities_are_stored(spark, sf_dir, tmp_path):
     built = jobs.load_star(tidy, root)
     assert built.facts.count() == source(spark, root, "warehouse", "fact_orders").count()
     assert source(spark, root, "warehouse", "dim_city").schema == schemas.DIM_CITY
+
+    first = rows(source(spark, root, "warehouse", "dim_city"), "city_key")
+    more = tidy.unionByName(tidy.limit(1).withColumns({"id": F.lit(-1), "city": F.lit("aaa")}))
+    jobs.load_star(more, root)
+    again = rows(source(spark, root, "warehouse", "dim_city"), "city_key")
+    assert again == [*first, (len(first) + 1, "aaa")]
     counts = jobs.load_entities(messy.view(spark, sf_dir, messy.WIDE_ORDERS), root)
     assert counts["dim_cities"] == 25
     (tmp_path / "seeds").mkdir()
