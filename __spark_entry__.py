@@ -141,15 +141,16 @@ def upsert(deliveries: DataFrame) -> DataFrame:
 
     The batch holds some orders twice, and the later row of an order counts.
     """
-    dated = deliveries.select("id", "order_date")
-    orders = cleaning.clean_orders_sql(deliveries).join(dated, "id")
+    loaded = cleaning.clean_orders_sql(deliveries.where(F.col("order_date") < "2000-01-01"))
+    recent = cleaning.clean_orders_sql(deliveries.where(F.col("order_date") >= "1999-01-01"))
+    # A high-value order arrives as open and then as settled, any other one only as open.
+    states = F.when(F.col("is_high_value"), F.array(F.lit("open"), F.lit("settled"))).otherwise(
+        F.array(F.lit("open"))
+    )
+    batch = recent.select("*", F.posexplode(states).alias("load", "state"))
+    batch = batch.withColumn("status", F.col("state")).drop("state")
     columns = schemas.ORDERS.fieldNames()
-    recent = orders.where(F.col("order_date") >= "1999-01-01")
-    opened = recent.withColumn("status", F.lit("open")).withColumn("load", F.lit(1))
-    settled = recent.where("is_high_value").withColumn("status", F.lit("settled"))
-    batch = opened.unionByName(settled.withColumn("load", F.lit(2)))
-    loaded = orders.where(F.col("order_date") < "2000-01-01").select(*columns)
-    return merging.upsert(loaded, batch, "id", F.col("load"))
+    return merging.upsert(loaded.select(*columns), batch, "id", F.col("load"))
 
 
 def history(deliveries: DataFrame) -> DataFrame:

@@ -33,6 +33,11 @@ def sql_tidy(c: str | Column) -> Column:
     return sql_trim(F.lower(col(c)))
 
 
+def not_blank(c: str | Column) -> Column:
+    """Has something other than space separators; one trim, as filters do not share terms."""
+    return F.trim(col(c), F.lit(SPACE_SEPARATORS)) != ""
+
+
 def strip(c: str | Column) -> Column:
     return F.trim(col(c), F.lit(WHITESPACE))
 

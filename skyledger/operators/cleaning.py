@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.bands import above, above_or_false
 from skyledger.functions.numbers import price, where_number
-from skyledger.functions.text import slug, sql_tidy, sql_trim, strip_lower
+from skyledger.functions.text import not_blank, slug, sql_tidy, strip_lower
 from skyledger.operators.lookups import lookup_join
 from skyledger.operators.shared import Settled
 
@@ -33,7 +33,7 @@ def clean_orders(orders: DataFrame, threshold: float = HIGH_VALUE) -> DataFrame:
 def clean_orders_sql(orders: DataFrame, threshold: float = HIGH_VALUE) -> DataFrame:
     """SQL rules: only spaces trimmed, NaN is a value."""
     return (
-        where_number(orders.where(sql_trim("city") != ""), "amount")
+        where_number(orders.where(not_blank("city")), "amount")
         .select("id", sql_tidy("city").alias("city"), "amount", "status")
         .withColumn("is_high_value", above_or_false("amount", threshold))
     )

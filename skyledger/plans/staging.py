@@ -13,7 +13,7 @@ from skyledger.functions.numbers import (
     to_whole,
     where_number,
 )
-from skyledger.functions.text import sql_tidy, sql_trim
+from skyledger.functions.text import not_blank, sql_tidy
 from skyledger.operators.cleaning import HIGH_VALUE
 
 RESTAURANT_HIGH_VALUE = 80
@@ -27,7 +27,7 @@ def stg_deliveries(
     The tier reads the parsed amount: the source may keep amounts as text.
     """
     return (
-        where_number(deliveries.where(sql_trim("city") != ""), "amount")
+        where_number(deliveries.where(not_blank("city")), "amount")
         .select(
             F.col("id").alias("delivery_id"),
             sql_tidy("city").alias("city"),
