@@ -185,6 +185,13 @@ def _typed(job: Callable[..., DataFrame], **options: object) -> Query:
     return over(messy.DELIVERIES_TYPED, job, **options)
 
 
+def _stored(job: Callable[..., DataFrame], **options: object) -> Query:
+    """The typed deliveries as a stored table, for jobs that read them twice."""
+    return lambda spark, sf_dir: job(
+        settle(messy.view(spark, sf_dir, messy.DELIVERIES_TYPED), "deliveries").frame, **options
+    )
+
+
 def _tidy(job: Callable[..., DataFrame], **options: object) -> Query:
     return over(messy.DELIVERIES_TIDY, job, **options)
 
@@ -216,18 +223,18 @@ QUERIES: dict[str, Query] = {
     ),
     "rank_in_city": _typed(analytics.rank_in_city),
     "rank_in_city_sliced": _typed(analytics.rank_in_city, window_rows=0),
-    "running_total": _typed(analytics.running_total),
-    "running_total_large_lookup": _typed(analytics.running_total, **SMALL_LIMITS),
-    "vs_city_average": _typed(analytics.vs_city_average),
-    "vs_city_average_large_lookup": _typed(analytics.vs_city_average, **SMALL_LIMITS),
+    "running_total": _stored(analytics.running_total),
+    "running_total_large_lookup": _stored(analytics.running_total, **SMALL_LIMITS),
+    "vs_city_average": _stored(analytics.vs_city_average),
+    "vs_city_average_large_lookup": _stored(analytics.vs_city_average, **SMALL_LIMITS),
     "day_change": _typed(analytics.day_change),
     "day_change_sliced": _typed(analytics.day_change, window_rows=0),
-    "top_order": _typed(analytics.top_order),
+    "top_order": _stored(analytics.top_order),
     "delivered_revenue": _typed(analytics.delivered_revenue),
-    "top_vs_average": _typed(analytics.top_vs_average),
+    "top_vs_average": _stored(analytics.top_vs_average),
     "daily_totals": _typed(analytics.daily_totals),
-    "above_city_average": _typed(analytics.above_city_average),
-    "above_city_average_correlated": _typed(analytics.above_city_average_correlated),
+    "above_city_average": _stored(analytics.above_city_average),
+    "above_city_average_correlated": _stored(analytics.above_city_average_correlated),
     "dim_date": _tidy(lambda deliveries: star.dim_date_of(deliveries, "order_date")),
     "dim_city": _tidy(lambda rows: star.dim_city(rows).frame),
     "dim_status": _tidy(lambda rows: star.dim_status(rows).frame),

@@ -22,11 +22,14 @@ def upsert(
     existing: DataFrame, batch: DataFrame, key: str, order: Column | None = None
 ) -> DataFrame:
     """Existing rows with those of the batch put in their place or added."""
+    return put(existing, last_per_key(batch, key, order), key)
+
+
+def put(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """As `upsert`, for incoming rows that are known to have each key once."""
     columns = existing.columns
-    incoming = last_per_key(batch, key, order).select(
-        F.col(key).alias("_key"), F.struct(*columns).alias("_new")
-    )
-    joined = existing.join(incoming, existing[key] == incoming["_key"], "full_outer")
+    arriving = incoming.select(F.col(key).alias("_key"), F.struct(*columns).alias("_new"))
+    joined = existing.join(arriving, existing[key] == arriving["_key"], "full_outer")
     arrived = F.col("_key").isNotNull()
     return joined.select(
         *(F.when(arrived, F.col(f"_new.{c}")).otherwise(existing[c]).alias(c) for c in columns)

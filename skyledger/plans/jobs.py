@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from skyledger.operators.cleaning import (
 )
 from skyledger.operators.lookups import lookup_join
 from skyledger.operators.quality import require_fields, require_rows
-from skyledger.operators.shared import settle
+from skyledger.operators.shared import settle, together
 from skyledger.plans import marts, staging, star
 from skyledger.plans.weather import aggregate_weather, weather_summary
 from skyledger.sources import files, payloads
@@ -56,6 +57,14 @@ def analyse_files(
     return enriched
 
 
+def summarise_readings(
+    spark: SparkSession, readings_json: str, out_csv: str, lines: bool = True
+) -> None:
+    """Readings file to a CSV folder with one row per city."""
+    readings = files.read_json(spark, readings_json, schemas.READINGS, lines)
+    write_csv(aggregate_weather(require_rows(readings, "weather readings")), out_csv)
+
+
 def load_orders(orders: DataFrame, root: str) -> int:
     cleaned = clean_orders_sql(orders).withColumn("id", F.col("id").cast("bigint"))
     batch = cleaned.select(*schemas.ORDERS.fieldNames())
@@ -185,9 +194,8 @@ def weather_batch(
             marts.int_orders_by_restaurant(orders)
         ),
     }
-    for name, frame in models.items():
-        rows[name] = replace_table(frame, table_path(root, name))
-    return Marts(rows)
+    writes = [partial(replace_table, df, table_path(root, name)) for name, df in models.items()]
+    return Marts({**rows, **dict(zip(models, together(spark, *writes)))})
 
 
 def restaurant_batch(orders: DataFrame, root: str) -> Marts:

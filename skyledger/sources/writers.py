@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from skyledger.operators.merging import last_per_key, upsert
+from skyledger.operators.merging import last_per_key, put
 from skyledger.operators.quality import require_key
+from skyledger.operators.shared import settle
 from skyledger.sources.files import CSV_TEXT
 
 LOG = "version bigint, folder string"
@@ -86,6 +87,7 @@ def upsert_table(
     batch: DataFrame, path: str, schema: StructType, key: str, order: Column | None = None
 ) -> int:
     """Insert or replace by key; returns the number of rows the batch put in place."""
+    incoming = settle(last_per_key(batch, key, order), "batch")
     existing = read_table(batch.sparkSession, path, schema)
-    replace_table(upsert(existing, batch, key, order), path, key=(key,))
-    return last_per_key(batch, key, order).count()
+    replace_table(put(existing, incoming.frame, key), path, key=(key,))
+    return incoming.rows

@@ -174,6 +174,23 @@ def test_analysis_of_files(spark, orders_csv, tmp_path):
                      ("4", "alexandria", "27.5", "1")]
 
 
+def test_readings_file_to_csv(spark, tmp_path):
+    readings = tmp_path / "weather.json"
+    readings.write_text("\n".join(
+        json.dumps(dict(zip(("city", "time", "temperature_c"), r))) for r in READINGS
+    ))
+    out = str(tmp_path / "summary")
+    jobs.summarise_readings(spark, str(readings), out)
+    assert [tuple(r) for r in spark.read.csv(out, header=True).orderBy("city").collect()] == [
+        ("alexandria", "27.5", "27.5", "27.5", "1"), ("cairo", "29.2", "29.3", "29.0", "2"),
+        ("dubai", None, None, None, "0"),
+    ]
+    empty = tmp_path / "empty.json"
+    empty.write_text("")
+    with pytest.raises(DataCheckError):
+        jobs.summarise_readings(spark, str(empty), out)
+
+
 def test_versioned_table(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = schemas.ORDERS
