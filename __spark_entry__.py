@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from job_queries import JOBS
 from oracles import ORACLES
 from skyledger import schemas
 from skyledger.functions.numbers import price
@@ -266,6 +267,7 @@ QUERIES: dict[str, Query] = {
     "upsert": over(messy.DELIVERIES, upsert),
     "history": _tidy(history),
     "file_round_trip": over(messy.DELIVERIES, file_round_trip),
+    **JOBS,
 }
 
 

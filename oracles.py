@@ -445,6 +445,58 @@ ORACLES: dict[str, str] = {
         SELECT 'json' AS format, id, city, status, amount, order_date FROM deliveries_raw"""),
 }
 
+PAYLOAD_READINGS = ORACLES["payload_flatten"]
+ORACLES |= {
+    "split_files": query(["deliveries_raw"], """
+        SELECT CAST(id AS STRING) AS id, place AS city, amount, status,
+          place IS NOT NULL AND amount IS NOT NULL AS is_valid
+        FROM (SELECT *, CASE WHEN trim(city) <> '' THEN city END AS place FROM deliveries_raw)"""),
+    "process_order_files": query(["deliveries_raw", "judged"], """
+        SELECT id, CASE WHEN reason IS NULL THEN place END AS city,
+          CASE WHEN reason IS NULL THEN parsed END AS amount,
+          CASE WHEN reason IS NULL THEN status END AS status, reason
+        FROM (SELECT *, CASE
+                WHEN amount IS NULL AND city IS NULL THEN 'Missing required keys: amount, city'
+                WHEN amount IS NULL THEN 'Missing required keys: amount'
+                WHEN city IS NULL THEN 'Missing required keys: city'
+                WHEN parsed IS NULL OR parsed = 0 THEN 'No usable amount' END AS reason
+              FROM judged)"""),
+    "analysis_files": query([*CLEAN, "weather_raw", "weather_nonnull"], """
+        SELECT o.*, w.* EXCLUDE (city)
+        FROM clean_sql o LEFT JOIN weather_nonnull w ON o.city = w.city"""),
+    "weather_report_files": f"""
+        SELECT city, round_even({mean('temperature_c')} * 10, 0) / 10 AS avg_temp,
+          MAX(temperature_c) AS max_temp, MIN(temperature_c) AS min_temp,
+          COUNT(temperature_c) AS record_count
+        FROM ({PAYLOAD_READINGS})
+        WHERE city IN (SELECT lower(q.city) FROM ({STEPS['requests']}) q
+                       WHERE q.city LIKE 'Nation%')
+          AND city IN (SELECT name FROM ({STEPS['registry']}))
+        GROUP BY city""",
+    "landed_readings": PAYLOAD_READINGS,
+    "stored_warehouse": ORACLES["warehouse_enriched"],
+    "stored_star": query([*STAR[:2], "dim_city", "dim_status", "fact_orders"], """,
+        first_cities AS (
+          SELECT ROW_NUMBER() OVER (ORDER BY city NULLS LAST) AS city_key, city AS city_name
+          FROM (SELECT DISTINCT city FROM deliveries_tidy WHERE order_date < '1995-01-15')),
+        all_cities AS (
+          SELECT * FROM first_cities
+          UNION ALL
+          SELECT ROW_NUMBER() OVER (ORDER BY city NULLS LAST)
+              + (SELECT MAX(city_key) FROM first_cities), city
+          FROM (SELECT DISTINCT city FROM deliveries_tidy t WHERE NOT EXISTS
+                 (SELECT 1 FROM first_cities f WHERE f.city_name IS NOT DISTINCT FROM t.city)))
+        SELECT f.order_key, f.date_key, k.city_key, f.amount, f.is_high_value, c.city_name,
+          s.status_name
+        FROM fact_orders f LEFT JOIN dim_city c ON f.city_key = c.city_key
+        LEFT JOIN all_cities k ON c.city_name = k.city_name
+        LEFT JOIN dim_status s ON f.status_key = s.status_key"""),
+    "weather_batch_summary": CITY_SUMMARY,
+    "restaurant_batch_daily": query(DAILY, "SELECT * FROM mart_restaurant_daily").replace(
+        "WHERE status = 'delivered'", "WHERE status = 'delivered' AND amount IS NOT NULL"
+    ),
+}
+
 
 def fix_extra_steps(sql: str) -> str:
     """A select that begins with a comma adds further named steps."""

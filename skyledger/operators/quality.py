@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,9 +110,9 @@ def require_fields(df: DataFrame, fields: Sequence[str], record: str) -> DataFra
 
 def require_key(df: DataFrame, *keys: str) -> DataFrame:
     """Primary key rule for tables whose format cannot enforce one: not null and not repeated."""
-    require_fields(df, keys, keys[0])
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    first = repeated.first()
-    if first is not None:
-        raise DataCheckError(f"key {tuple(first[k] for k in keys)} occurs {first['n']} times")
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    lacking = reduce(or_, (F.col(k).isNull() for k in keys))
+    broken = counted.where(lacking | (F.col("n") > 1)).first()
+    if broken is not None:
+        raise DataCheckError(f"key {tuple(broken[k] for k in keys)} occurs {broken['n']} times")
     return df

@@ -90,6 +90,17 @@ def warehouse_enriched(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _store(
+    spark: SparkSession, root: str, tables: dict[str, tuple[DataFrame, str]]
+) -> dict[str, int]:
+    """Replace tables that do not depend on each other, each with its key; rows per table."""
+    writes = [
+        partial(replace_table, frame, table_path(root, name), key=(key,))
+        for name, (frame, key) in tables.items()
+    ]
+    return dict(zip(tables, together(spark, *writes)))
+
+
 def load_star(deliveries: DataFrame, root: str) -> star.Star:
     """Write the four tables of the star and return it on top of what was written.
 
@@ -107,8 +118,7 @@ def load_star(deliveries: DataFrame, root: str) -> star.Star:
         "dim_status": (built.statuses.frame, "status_key"),
         "fact_orders": (built.facts, "order_key"),
     }
-    for name, (frame, key) in tables.items():
-        replace_table(frame, table_path(root, name), key=(key,))
+    _store(spark, root, tables)
     facts = read_table(spark, table_path(root, "fact_orders"), schemas.FACT_ORDERS)
     return star.Star(facts, built.dates, built.cities, built.statuses)
 
@@ -121,10 +131,7 @@ def load_entities(wide: DataFrame, root: str) -> dict[str, int]:
         "dim_products": (products.frame, "product_id"),
         "dim_cities": (cities.frame, "city_id"),
     }
-    return {
-        name: replace_table(frame, table_path(root, name), key=(key,))
-        for name, (frame, key) in built.items()
-    }
+    return _store(wide.sparkSession, root, built)
 
 
 def split_orders_file(

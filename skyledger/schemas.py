@@ -8,12 +8,12 @@ TEXT, LONG, INT, DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.Doubl
 FLAG, DATE = T.BooleanType(), T.DateType()
 
 
-def _schema(**columns: T.DataType) -> T.StructType:
+def schema(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
-ORDERS_RAW = _schema(id=TEXT, city=TEXT, amount=TEXT, status=TEXT)
-ORDERS = _schema(
+ORDERS_RAW = schema(id=TEXT, city=TEXT, amount=TEXT, status=TEXT)
+ORDERS = schema(
     id=LONG,
     city=TEXT,
     amount=DOUBLE,
@@ -21,29 +21,29 @@ ORDERS = _schema(
     is_high_value=FLAG,
 )
 # In JSON an amount may be a number or a text, and the two are cleaned differently.
-ORDERS_JSON = _schema(id=LONG, city=TEXT, amount=T.VariantType(), status=TEXT)
+ORDERS_JSON = schema(id=LONG, city=TEXT, amount=T.VariantType(), status=TEXT)
 
-READINGS = _schema(city=TEXT, time=TEXT, temperature_c=DOUBLE)
-WEATHER_SUMMARY = _schema(
+READINGS = schema(city=TEXT, time=TEXT, temperature_c=DOUBLE)
+WEATHER_SUMMARY = schema(
     city=TEXT,
     avg_temp=DOUBLE,
     max_temp=DOUBLE,
     min_temp=DOUBLE,
     record_count=LONG,
 )
-PAYLOAD = _schema(
+PAYLOAD = schema(
     city=TEXT,
-    hourly=_schema(time=T.ArrayType(TEXT), temperature_2m=T.ArrayType(DOUBLE)),
+    hourly=schema(time=T.ArrayType(TEXT), temperature_2m=T.ArrayType(DOUBLE)),
 )
 
-DELIVERIES = _schema(
+DELIVERIES = schema(
     id=LONG,
     city=TEXT,
     status=TEXT,
     amount=TEXT,
     order_date=TEXT,
 )
-RESTAURANT_ORDERS = _schema(
+RESTAURANT_ORDERS = schema(
     order_id=LONG,
     restaurant_name=TEXT,
     city=TEXT,
@@ -51,7 +51,7 @@ RESTAURANT_ORDERS = _schema(
     status=TEXT,
     order_date=TEXT,
 )
-RAW_ORDERS = _schema(
+RAW_ORDERS = schema(
     order_id=TEXT,
     customer_city=TEXT,
     restaurant_name=TEXT,
@@ -61,9 +61,9 @@ RAW_ORDERS = _schema(
     order_status=TEXT,
     ordered_at=TEXT,
 )
-CITY_REGISTRY = _schema(name=TEXT, lat=DOUBLE, lon=DOUBLE)
+CITY_REGISTRY = schema(name=TEXT, lat=DOUBLE, lon=DOUBLE)
 
-DIM_DATE = _schema(
+DIM_DATE = schema(
     date_key=INT,
     date=DATE,
     day_of_week=TEXT,
@@ -73,9 +73,9 @@ DIM_DATE = _schema(
     year=INT,
     is_weekend=FLAG,
 )
-DIM_CITY = _schema(city_key=LONG, city_name=TEXT)
-DIM_STATUS = _schema(status_key=LONG, status_name=TEXT)
-FACT_ORDERS = _schema(
+DIM_CITY = schema(city_key=LONG, city_name=TEXT)
+DIM_STATUS = schema(status_key=LONG, status_name=TEXT)
+FACT_ORDERS = schema(
     order_key=LONG,
     date_key=INT,
     city_key=LONG,
@@ -84,6 +84,24 @@ FACT_ORDERS = _schema(
     is_high_value=FLAG,
 )
 
-DIM_CUSTOMERS = _schema(customer_id=LONG, name=TEXT, email=TEXT)
-DIM_PRODUCTS = _schema(product_id=LONG, name=TEXT, category=TEXT, unit_price=DOUBLE)
-DIM_CITIES = _schema(city_id=LONG, city_name=TEXT, region=TEXT)
+DIM_CUSTOMERS = schema(customer_id=LONG, name=TEXT, email=TEXT)
+DIM_PRODUCTS = schema(product_id=LONG, name=TEXT, category=TEXT, unit_price=DOUBLE)
+DIM_CITIES = schema(city_id=LONG, city_name=TEXT, region=TEXT)
+
+MART_CITY_SUMMARY = schema(
+    city=TEXT,
+    total_orders=LONG,
+    total_revenue=DOUBLE,
+    avg_order_value=DOUBLE,
+    delivered_count=LONG,
+    avg_temp=DOUBLE,
+    avg_revenue_per_degree=DOUBLE,
+)
+MART_RESTAURANT_DAILY = schema(
+    order_date=TEXT,
+    restaurant_name=TEXT,
+    total_orders=LONG,
+    total_revenue=DOUBLE,
+    avg_order_value=DOUBLE,
+    revenue_tier=TEXT,
+)

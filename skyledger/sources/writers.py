@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,13 +45,14 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def create_table(spark: SparkSession, path: str) -> None:
+    """Start an empty version log unless the table is there already."""
+    spark.createDataFrame([], LOG).write.mode("ignore").parquet(f"{path}/versions")
+
+
 def _last_version(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    try:
-        log = spark.read.schema(LOG).parquet(f"{path}/versions")
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+    create_table(spark, path)
+    log = spark.read.schema(LOG).parquet(f"{path}/versions")
     last = log.agg(F.max(F.struct("version", "folder")).alias("last")).first()["last"]
     return None if last is None else (last["version"], last["folder"])
 

@@ -42,7 +42,7 @@ def test_csv_text_and_typed(spark, orders_csv):
     assert rows(text, "id")[4:] == [
         ("5", None, "15.00", "pending"), ("6", None, "20", 'said "no", twice')
     ]
-    typed = files.read_csv(spark, orders_csv, schemas._schema(
+    typed = files.read_csv(spark, orders_csv, schemas.schema(
         id=schemas.LONG, city=schemas.TEXT, amount=schemas.DOUBLE, status=schemas.TEXT
     ))
     assert rows(typed.select("id", "amount"), "id")[:3] == [(1, 45.5), (2, 120.0), (3, None)]

@@ -69,6 +69,8 @@ def test_gates(spark, table):
         require_fields(good, ["nowhere"], "id")
     with pytest.raises(DataCheckError, match="occurs 2 times"):
         require_key(good, "id")
+    with pytest.raises(DataCheckError, match="key .None,. occurs 1 times"):
+        require_key(table.where("id is null or id = 2"), "id")
     unique_rows = good.where("id = 2")
     assert require_key(unique_rows, "id") is unique_rows
 
