@@ -271,14 +271,27 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _llm() -> tuple[dict[str, Query], dict[str, str]]:
+    """Queries and SQL of the text-preparation subpackage; none where it was taken out."""
+    try:
+        from corpus_pipeline import ORACLE_SQL, pipeline
+        from skyledger.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "skyledger.llm", "skyledger.llm.queries"):
+            raise
+        return {}, {}
+    sql = ORACLES if ORACLE_SQL is None else {**ORACLES, "pipeline": ORACLE_SQL}
+    return {**QUERIES, "pipeline": pipeline}, dict(sql)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """City summary of messy deliveries and weather readings."""
     return city_summary(spark, "/root/testdata/sf0.001")
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {**QUERIES, **_llm()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return {**ORACLES, **_llm()[1]}
