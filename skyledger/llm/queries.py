@@ -6,10 +6,10 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import packing, wavelet
+from skyledger.llm import language, packing, warc, wavelet
 from skyledger.llm.storage import importable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,9 +45,35 @@ def op2_minimum_bin_slack(documents: DataFrame) -> DataFrame:
     )
 
 
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+
+
+def language_model(documents: DataFrame) -> language.Model:
+    """Fitted on labelled documents that are not held out."""
+    labelled = documents.where(~held_out() & F.col("lang").isNotNull())
+    return language.fit(language.sample(labelled.select("text", "lang")))
+
+
+@over("documents")
+def op4_word_first_backoff(documents: DataFrame) -> DataFrame:
+    model = language_model(documents)
+    found = language.predict(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@over("pages")
+def op7_warc_reader(pages: DataFrame) -> DataFrame:
+    return warc.read_archives(warc.write_archives(pages)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_wavelet_matrix": op1_wavelet_matrix,
     "op2_minimum_bin_slack": op2_minimum_bin_slack,
+    "op4_word_first_backoff": op4_word_first_backoff,
+    "op7_warc_reader": op7_warc_reader,
 }
 
 ORACLES: dict[str, str] = {}

@@ -55,7 +55,7 @@ class WholeFile:
 
     def __enter__(self):
         self.files.create_dir(os.path.dirname(self.path), recursive=True)
-        self.out = self.files.open_output_stream(self.partial)
+        self.out = self.files.open_output_stream(self.partial, compression=None)
         return self.out
 
     def __exit__(self, failed, *_):
