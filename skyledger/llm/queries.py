@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import language, packing, warc, wavelet
-from skyledger.llm.storage import importable
+from skyledger.llm import host_rules, language, mixing, packing, warc, wavelet
+from skyledger.llm.storage import importable, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,18 @@ def op4_word_first_backoff(documents: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+@over("documents")
+def op5_multinomial_mix(documents: DataFrame) -> DataFrame:
+    return mixing.mix(documents).drop("source")
+
+
+@over("documents")
+def op10_host_rules(documents: DataFrame) -> DataFrame:
+    measures = host_rules.measured(documents.select("doc_id", "source", "text")).drop("text")
+    judged = host_rules.judge(stored(measures, "measures"), "source")
+    return judged.drop("source", "host_rejected")
+
+
 @over("pages")
 def op7_warc_reader(pages: DataFrame) -> DataFrame:
     return warc.read_archives(warc.write_archives(pages)).select(
@@ -73,7 +85,9 @@ QUERIES: dict[str, Query] = {
     "op1_wavelet_matrix": op1_wavelet_matrix,
     "op2_minimum_bin_slack": op2_minimum_bin_slack,
     "op4_word_first_backoff": op4_word_first_backoff,
+    "op5_multinomial_mix": op5_multinomial_mix,
     "op7_warc_reader": op7_warc_reader,
+    "op10_host_rules": op10_host_rules,
 }
 
 ORACLES: dict[str, str] = {}
