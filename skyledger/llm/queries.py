@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import host_rules, language, mixing, order_minhash, packing, warc, wavelet
+from skyledger.llm import host_rules, language, mixing, order_minhash, packing, secret_scan, warc, wavelet
 from skyledger.llm.storage import importable, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,11 @@ def op5_multinomial_mix(documents: DataFrame) -> DataFrame:
     return mixing.mix(documents).drop("source")
 
 
+@over("documents")
+def op6_secret_forest(documents: DataFrame) -> DataFrame:
+    return secret_scan.scan_documents(documents.select("doc_id", "text"), ["doc_id"])
+
+
 @over("documents")
 def op9_order_minhash(documents: DataFrame) -> DataFrame:
     return order_minhash.compare_with_edits(documents)
@@ -91,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op2_minimum_bin_slack": op2_minimum_bin_slack,
     "op4_word_first_backoff": op4_word_first_backoff,
     "op5_multinomial_mix": op5_multinomial_mix,
+    "op6_secret_forest": op6_secret_forest,
     "op7_warc_reader": op7_warc_reader,
     "op9_order_minhash": op9_order_minhash,
     "op10_host_rules": op10_host_rules,

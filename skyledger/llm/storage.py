@@ -21,6 +21,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(files: DataFrame, n: int) -> DataFrame:
+    """Rows that name files, one task for each up to a bound; small rows would share a task."""
+    return files.repartition(max(1, min(n, 100_000)))
+
+
 def with_columns_of(df: DataFrame, schema: StructType) -> StructType:
     """The schema of a frame followed by further fields."""
     return StructType([*df.schema.fields, *schema.fields])

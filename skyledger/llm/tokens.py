@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 ID = np.dtype("<u4")
-REMEMBERED = 700_000  # distinct words kept per Python worker
-SLICE_BYTES = 24 << 20  # texts encoded together
+REMEMBERED = 400_000  # distinct words kept per Python worker
+SLICE_BYTES = 12 << 20  # texts encoded together
 _SPACE = r"[^\S\x1c-\x1f]"  # white space as Unicode has it; Python also counts \x1c to \x1f
 _SOLID = r"[\S\x1c-\x1f]"
 _MARK = r"[!-/:-@\[-`{-~]"  # ASCII punctuation, which no normal form joins to a letter

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.storage import WholeFile, file_system, stored
+from skyledger.llm.storage import WholeFile, file_system, spread, stored
 from skyledger.operators.shared import scratch_path
 
 VERSION = b"WARC/1.1"
@@ -215,5 +215,4 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_archives(files: DataFrame) -> DataFrame:
     """Every record of the archives; revisits have no payload."""
-    spread = files.select("path", "n_records").repartition(F.xxhash64("path"))
-    return spread.mapInArrow(_read, RECORDS_SQL)
+    return spread(files.select("path", "n_records"), files.count()).mapInArrow(_read, RECORDS_SQL)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.storage import WholeFile, file_system, stored
+from skyledger.llm.storage import WholeFile, file_system, spread, stored
 from skyledger.llm.tokens import ID, encoder
 from skyledger.operators.shared import scratch_path
 
@@ -318,5 +318,4 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     before = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).alias("start")
     placed = stored(manifest.select("part", "shard", "path", start), "wavelet_starts")
-    files = placed.repartition(F.xxhash64("path"))
-    return files.mapInArrow(_read, DOCUMENTS)
+    return spread(placed, placed.count()).mapInArrow(_read, DOCUMENTS)
