@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import host_rules, language, mixing, order_minhash, packing, secret_scan, warc, wavelet
+from skyledger.llm import host_rules, language, mixing, order_minhash, packing, quotations, secret_scan, warc, wavelet
 from skyledger.llm.storage import importable, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,11 @@ def op6_secret_forest(documents: DataFrame) -> DataFrame:
     return secret_scan.scan_documents(documents.select("doc_id", "text"), ["doc_id"])
 
 
+@over("conversations")
+def op8_quotation_linking(messages: DataFrame) -> DataFrame:
+    return quotations.in_reply_order(quotations.link_quotations(messages)).drop("text")
+
+
 @over("documents")
 def op9_order_minhash(documents: DataFrame) -> DataFrame:
     return order_minhash.compare_with_edits(documents)
@@ -98,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op5_multinomial_mix": op5_multinomial_mix,
     "op6_secret_forest": op6_secret_forest,
     "op7_warc_reader": op7_warc_reader,
+    "op8_quotation_linking": op8_quotation_linking,
     "op9_order_minhash": op9_order_minhash,
     "op10_host_rules": op10_host_rules,
 }
