@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import host_rules, language, mixing, order_minhash, packing, quotations, secret_scan, warc, wavelet
+from skyledger.llm import chosen_path, host_rules, language, mixing, order_minhash, packing, quotations, secret_scan, warc, wavelet
 from skyledger.llm.storage import importable, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,11 @@ def language_model(documents: DataFrame) -> language.Model:
     return language.fit(language.sample(labelled.select("text", "lang")))
 
 
+@over("documents")
+def op3_chosen_path_join(documents: DataFrame) -> DataFrame:
+    return chosen_path.similar_groups(documents)
+
+
 @over("documents")
 def op4_word_first_backoff(documents: DataFrame) -> DataFrame:
     model = language_model(documents)
@@ -99,6 +104,7 @@ def op7_warc_reader(pages: DataFrame) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_wavelet_matrix": op1_wavelet_matrix,
     "op2_minimum_bin_slack": op2_minimum_bin_slack,
+    "op3_chosen_path_join": op3_chosen_path_join,
     "op4_word_first_backoff": op4_word_first_backoff,
     "op5_multinomial_mix": op5_multinomial_mix,
     "op6_secret_forest": op6_secret_forest,
