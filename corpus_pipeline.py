@@ -1,30 +1,65 @@
 """A whole corpus, from raw documents to packed training sequences, in stages.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read
-again as the next stage's documents.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
+read again as the next stage's documents. All but the last return the columns of documents.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyledger.llm import packing
+from skyledger.llm import chosen_path, language, mixing, packing, secret_scan
+from skyledger.llm.queries import language_model
 from skyledger.llm.storage import importable, stored
 
+LEAST_SCORE = 0.5  # a text whose language is no likelier than this is rejected
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: those without a letter, or without a likely one, go."""
+    importable(spark)
+    found = language.predict(docs.select(F.struct("*").alias("row"), "text"), language_model(docs))
+    sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return found.where(sure).select("row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group with shingle similarity of 0.8 or more."""
+    importable(spark)
+    return chosen_path.first_of_groups(docs)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in their texts masked."""
+    return secret_scan.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often, and with as much of their text, as the mix takes them."""
+    return mixing.mixed_documents(docs)
+
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 ids: one row per piece of a document."""
+    importable(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("best-fit packing", pack)]
+STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("secret scans", mask_secrets),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack),
+]
 
-ORACLE_SQL = None  # language models, joins on similarity and tokenizers have no SQL form
+ORACLE_SQL = None  # language models, similarity joins and tokenizers have no SQL form
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    importable(spark)
+    """All stages, from the documents table to packed sequences."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "_"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.storage import stored
 from skyledger.llm.words import words
+from skyledger.operators.shared import scratch_path
 
 MAX_LABELLED = 20_000
 DICTIONARY_WORDS = 20_000
@@ -175,7 +176,10 @@ def train(findings: DataFrame, known: DataFrame) -> RandomForestClassificationMo
     rows = stored(rows.select("label", *FEATURES), "secret_training")
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label")
-    return forest.fit(vectors)
+    # A model as read back holds no training data, which its tasks could not take along.
+    path = scratch_path(findings.sparkSession, "secret_forest")
+    forest.fit(vectors).write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scan(documents: DataFrame, key: list[str], model: RandomForestClassificationModel, known: DataFrame, path: str | None = None) -> DataFrame:
