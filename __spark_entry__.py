@@ -103,6 +103,17 @@ def valid_failed_split(deliveries: DataFrame) -> DataFrame:
     return labelled.select("id", F.col("city").isNotNull().alias("has_city"), "is_valid")
 
 
+def valid_without_status(deliveries: DataFrame) -> DataFrame:
+    """A required column that is not there is missing on every row."""
+    return cleaning.label_valid(deliveries.drop("status")).select("id", "is_valid")
+
+
+def normalized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = messy.table(spark, sf_dir, "part")
+    names = cleaning.normalize_list(F.split("p_name", " "), lambda x: slug(F.upper(x)))
+    return parts.select(F.col("p_partkey").alias("id"), F.array_join(names, "|").alias("names"))
+
+
 def city_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = messy.view(spark, sf_dir, messy.REQUESTS)
     return cleaning.resolve_cities(requests, messy.view(spark, sf_dir, messy.CITY_REGISTRY))
@@ -235,7 +246,7 @@ QUERIES: dict[str, Query] = {
     "top_vs_average": _stored(analytics.top_vs_average),
     "daily_totals": _typed(analytics.daily_totals),
     "above_city_average": _stored(analytics.above_city_average),
-    "above_city_average_correlated": _stored(analytics.above_city_average_correlated),
+    "above_city_average_correlated": _stored(analytics.above_city_average_rows),
     "dim_date": _tidy(lambda deliveries: star.dim_date_of(deliveries, "order_date")),
     "dim_city": _tidy(lambda rows: star.dim_city(rows).frame),
     "dim_status": _tidy(lambda rows: star.dim_status(rows).frame),
@@ -257,8 +268,10 @@ QUERIES: dict[str, Query] = {
     "process_orders": over(messy.DELIVERIES, cleaning.process_orders),
     "rejected_orders": over(messy.DELIVERIES, cleaning.rejected_orders),
     "valid_failed_split": over(messy.DELIVERIES, valid_failed_split),
+    "valid_without_status": over(messy.DELIVERIES, valid_without_status),
+    "normalized_names": normalized_names,
     "column_profile": over(
-        messy.DELIVERIES, column_profiles, columns=["city", "status", "amount"], position="id"
+        messy.DELIVERIES, column_profiles, columns=["id", "city", "status", "amount", "order_date"], position="id"
     ),
     "city_registry": city_registry,
     "city_registry_unknown": city_registry_unknown,

@@ -5,68 +5,105 @@ Inputs are written from the given tables into the shared folder, so the work gro
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import schemas
+from skyledger.operators.quality import DataCheckError, require_fields, require_key, require_rows
 from skyledger.operators.shared import scratch_path
 from skyledger.plans import jobs
-from skyledger.sources import messy
-from skyledger.sources.registry import source, table_path
+from skyledger.sources import files, messy
+from skyledger.sources.registry import WAREHOUSE, source, table_path
 from skyledger.sources.writers import read_table, write_csv, write_json
-from skyledger.streaming.landing import load_landed
+from skyledger.streaming.landing import load_landed, report_failed
+
+ENRICHED = schemas.schema(
+    id=schemas.LONG, city=schemas.TEXT, amount=schemas.DOUBLE, status=schemas.TEXT,
+    is_high_value=schemas.FLAG, avg_temp=schemas.DOUBLE, max_temp=schemas.DOUBLE,
+    min_temp=schemas.DOUBLE, record_count=schemas.LONG,
+)
+BROKEN_CITY = "nation_3"
 
-ORDER_COLUMNS = schemas.ORDERS_RAW.fieldNames()
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries with one more column, and the columns in an order of their own."""
+    rows = messy.view(spark, sf_dir, messy.DELIVERIES)
+    courier = F.concat(F.lit("rider "), (F.col("id") % 7).cast("string"))
+    return rows.select("order_date", "amount", courier.alias("courier"), "status", "id", "city")
 
 
 def _orders_csv(spark: SparkSession, sf_dir: str) -> str:
     path = scratch_path(spark, "orders_csv")
-    write_csv(messy.view(spark, sf_dir, messy.DELIVERIES).select(*ORDER_COLUMNS), path)
+    write_csv(_deliveries(spark, sf_dir), path)
     return path
 
 
 def _payload_files(spark: SparkSession, sf_dir: str) -> str:
+    """Landed payloads; those of one city lack their temperatures."""
     path = scratch_path(spark, "payloads")
-    write_json(messy.payloads(spark, sf_dir), path)
+    temperatures = F.when(F.col("city") != BROKEN_CITY, F.col("hourly.temperature_2m"))
+    hourly = F.struct(F.col("hourly.time").alias("time"), temperatures.alias("temperature_2m"))
+    write_json(messy.payloads(spark, sf_dir).withColumn("hourly", hourly), path)
     return path
 
 
 def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "split")
     jobs.split_orders_file(spark, _orders_csv(spark, sf_dir), out)
-    schema = "id string, city string, amount string, status string, is_valid boolean"
+    schema = (
+        "id string, city string, amount string, status string, order_date string, courier string, "
+        "is_valid boolean"
+    )
     return spark.read.schema(schema).json(out)
 
 
+def typed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typed reader on files of two orders of columns, one of them without the courier."""
+    path = scratch_path(spark, "typed_csv")
+    rows = _deliveries(spark, sf_dir).withColumn("amount", F.col("amount").try_cast("double"))
+    write_csv(rows.where("id % 2 = 0"), f"{path}/part=even")
+    write_csv(rows.where("id % 2 = 1").select("city", "id", "amount", "status", "order_date"), f"{path}/part=odd")
+    declared = schemas.schema(id=schemas.LONG, amount=schemas.DOUBLE, order_date=schemas.DATE)
+    return files.read_csv(spark, f"{path}/*", declared, mixed_headers=True)
+
+
 def process_order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records leave out fields without a value, so some lack a required key."""
-    records, good, bad = (scratch_path(spark, label) for label in ("records", "good", "bad"))
-    messy.view(spark, sf_dir, messy.DELIVERIES).select(*ORDER_COLUMNS).write.json(
-        records, ignoreNullFields=True
+    records, out = scratch_path(spark, "records"), scratch_path(spark, "judged")
+    _deliveries(spark, sf_dir).write.json(records, ignoreNullFields=True)
+    jobs.process_orders_file(spark, records, out, lines=True)
+    schema = (
+        "id string, city string, amount double, status string, raw_amount string, reason string, "
+        "other_keys map<string, string>, is_valid boolean"
     )
-    jobs.process_orders_file(spark, records, good, bad, lines=True)
-    kept = spark.read.schema("id bigint, city string, amount double, status string").json(good)
-    rejected = spark.read.schema("id bigint, reason string").json(bad)
-    return kept.unionByName(rejected, allowMissingColumns=True)
+    judged = spark.read.schema(schema).json(out)
+    others = [F.col("other_keys")[k].alias(k) for k in ("order_date", "courier")]
+    return judged.select(*[c for c in judged.columns if c != "other_keys"], *others)
 
 
 def analysis_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings, out = scratch_path(spark, "readings"), scratch_path(spark, "enriched")
     write_json(messy.view(spark, sf_dir, messy.WEATHER), readings)
     jobs.analyse_files(spark, _orders_csv(spark, sf_dir), readings, out)
-    schema = (
-        "id bigint, city string, amount double, status string, is_high_value boolean, "
-        "avg_temp double, max_temp double, min_temp double, record_count bigint"
-    )
-    return spark.read.schema(schema).csv(out, header=True)
+    return files.read_csv(spark, out, ENRICHED)
 
 
 def weather_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cities that were asked for: summarised, with a broken payload, or unknown."""
     out = scratch_path(spark, "report")
     requests = messy.view(spark, sf_dir, messy.REQUESTS)
     registry = messy.view(spark, sf_dir, messy.CITY_REGISTRY)
-    jobs.weather_report(spark, requests, registry, _payload_files(spark, sf_dir), out)
-    return spark.read.schema(schemas.WEATHER_SUMMARY).csv(out, header=True)
+    report = jobs.weather_report(spark, requests, registry, _payload_files(spark, sf_dir), out)
+    summary = files.read_csv(spark, out, schemas.WEATHER_SUMMARY)
+    unknown = report.unknown.groupBy("city").agg(F.count(F.lit(1)).alias("record_count"))
+    parts = {"summary": summary, "failed": report.failed, "unknown": unknown}
+    found = [df.withColumn("part", F.lit(part)) for part, df in parts.items()]
+    whole = found[0]
+    for part in found[1:]:
+        whole = whole.unionByName(part, allowMissingColumns=True)
+    return whole
 
 
 def landed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +112,13 @@ def landed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schemas.READINGS).parquet(out)
 
 
+def landed_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, checkpoint = scratch_path(spark, "failed"), scratch_path(spark, "stream")
+    report_failed(spark, _payload_files(spark, sf_dir), out, checkpoint).awaitTermination()
+    failed = spark.read.schema("city string, file string").parquet(out)
+    return failed.groupBy("city").agg(F.count(F.lit(1)).alias("payloads"))
+
+
 def stored_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Early orders are loaded, then all of them; the second load replaces rows of the first."""
     root = scratch_path(spark, "warehouse")
@@ -95,10 +139,38 @@ def stored_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     deliveries = messy.view(spark, sf_dir, messy.DELIVERIES_TIDY)
     jobs.load_star(deliveries.where(F.col("order_date") < "1995-01-15"), root)
     jobs.load_star(deliveries, root)
+    return _named_facts(spark, root).drop("status_key")
+
+
+def _named_facts(spark: SparkSession, root: str) -> DataFrame:
     facts = source(spark, root, "warehouse", "fact_orders")
     for key, table in (("city_key", "dim_city"), ("status_key", "dim_status")):
         facts = facts.join(source(spark, root, "warehouse", table), key, "left")
-    return facts.drop("status_key")
+    return facts
+
+
+def _two_batches(spark: SparkSession, sf_dir: str) -> str:
+    """Deliveries in two loads that share a month; the first has other amounts in it."""
+    root = scratch_path(spark, "star_batches")
+    deliveries = messy.view(spark, sf_dir, messy.DELIVERIES_TIDY)
+    early = deliveries.where(F.col("order_date") < "1997-07-01")
+    restated = F.when(F.col("order_date") >= "1997-06-01", F.lit("1.00")).otherwise(F.col("amount"))
+    jobs.load_star(early.withColumn("amount", F.when(F.col("amount").isNotNull(), restated)), root)
+    jobs.load_star(deliveries.where(F.col("order_date") >= "1997-06-01"), root)
+    return root
+
+
+def stored_star_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of both loads, by name and day."""
+    root = _two_batches(spark, sf_dir)
+    days = source(spark, root, "warehouse", "dim_date").select("date_key", "date", "day_of_week")
+    facts = _named_facts(spark, root).join(days, "date_key", "left")
+    return facts.drop("city_key", "status_key", "date_key")
+
+
+def stored_star_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar after both loads."""
+    return source(spark, _two_batches(spark, sf_dir), "warehouse", "dim_date")
 
 
 def weather_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,22 +180,53 @@ def weather_batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table_path(root, "mart_city_summary"), schemas.MART_CITY_SUMMARY)
 
 
+def _refusal(check: Callable[[], object]) -> str | None:
+    try:
+        check()
+    except DataCheckError as refused:
+        return str(refused)
+    return None
+
+
 def restaurant_batch_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders are offered and refused, as some lack an amount; then 0 is to stand for it."""
     root = scratch_path(spark, "restaurant_batch")
     orders = messy.view(spark, sf_dir, messy.RESTAURANT_ORDERS)
-    # The batch refuses input with a missing amount.
-    jobs.restaurant_batch(orders.where(F.col("amount").isNotNull()), root)
-    return read_table(spark, table_path(root, "mart_restaurant_daily"), schemas.MART_RESTAURANT_DAILY)
+    said = _refusal(lambda: jobs.restaurant_batch(orders, root))
+    jobs.restaurant_batch(orders, root, fill={"amount": 0.0})
+    path = table_path(root, "mart_restaurant_daily")
+    daily = read_table(spark, path, schemas.MART_RESTAURANT_DAILY)
+    refusal = spark.createDataFrame([(said,)], "refusal string")
+    return daily.unionByName(refusal, allowMissingColumns=True)
+
+
+def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each gate says to an input that breaks its rule."""
+    orders = messy.view(spark, sf_dir, messy.RESTAURANT_ORDERS)
+    twice = orders.select("order_id").union(orders.where("order_id % 1000 = 1").select("order_id"))
+    said = {
+        "rows": _refusal(lambda: require_rows(orders.where("order_id < 0"), "restaurant orders")),
+        "fields": _refusal(lambda: require_fields(orders, ["order_id", "amount"], "order_id")),
+        "column": _refusal(lambda: require_fields(orders, ["courier"], "order_id")),
+        "key": (_refusal(lambda: require_key(twice, "order_id")) or "")[-14:],
+        "kept": _refusal(lambda: require_key(orders, "order_id")),
+    }
+    return spark.createDataFrame(list(said.items()), "gate string, said string")
 
 
 JOBS = {
     "split_files": split_files,
+    "typed_files": typed_files,
     "process_order_files": process_order_files,
     "analysis_files": analysis_files,
     "weather_report_files": weather_report_files,
     "landed_readings": landed_readings,
+    "landed_failures": landed_failures,
     "stored_warehouse": stored_warehouse,
     "stored_star": stored_star,
+    "stored_star_two_batches": stored_star_two_batches,
+    "stored_star_days": stored_star_days,
     "weather_batch_summary": weather_batch_summary,
     "restaurant_batch_daily": restaurant_batch_daily,
+    "refusals": refusals,
 }

@@ -33,17 +33,28 @@ STEPS = {
     "registry": messy.plain(messy.CITY_REGISTRY),
     "texts": messy.plain(messy.TEXTS),
     "wide": messy.plain(messy.WIDE_ORDERS),
-    "parsed_deliveries": """
-        SELECT *, trim(lower(city)) AS place, trim(lower(status)) AS state,
-          TRY_CAST(amount AS DOUBLE) AS value
-        FROM deliveries_raw""",
+    # What the messy deliveries are made of, before any text was made of it.
+    "known_deliveries": """
+        SELECT o_orderkey AS id, lower(n_name) AS nation,
+          o_orderkey % 97 = 0 AS null_city,
+          o_orderkey % 97 <> 0 AND o_orderkey % 89 = 0 AS blank_city,
+          o_orderstatus IN ('F', 'O') AS delivered,
+          CASE o_orderstatus WHEN 'F' THEN 'Delivered' WHEN 'O' THEN ' delivered '
+            ELSE 'CANCELLED' END AS status_text,
+          o_orderkey % 83 = 0 AS no_amount,
+          CASE WHEN o_orderkey % 83 <> 0 AND o_orderkey % 79 <> 0
+            THEN CAST(floor(o_totalprice) AS BIGINT) % 20000 END AS cents,
+          CAST(o_orderdate AS DATE) AS day
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+    # Limits and labels of the tiers, the limit of a high value.
     "stg_deliveries": """
-        SELECT id AS delivery_id, place AS city, state AS status, value AS amount,
-          value > 50 AS is_high_value, CAST(order_date AS DATE) AS order_date,
-          ROUND(value / 100.0, 2) AS amount_usd,
-          CASE WHEN value < 50 THEN 'low' WHEN value < 100 THEN 'medium' ELSE 'high' END
+        SELECT id AS delivery_id, nation AS city,
+          CASE WHEN delivered THEN 'delivered' ELSE 'cancelled' END AS status,
+          cents / 100::DOUBLE AS amount, cents > 5000 AS is_high_value, day AS order_date,
+          ROUND(cents / 100::DOUBLE / 100, 2) AS amount_usd,
+          CASE WHEN cents >= 10000 THEN 'high' WHEN cents >= 5000 THEN 'medium' ELSE 'low' END
             AS order_tier
-        FROM parsed_deliveries WHERE value IS NOT NULL AND length(place) > 0""",
+        FROM known_deliveries WHERE cents IS NOT NULL AND NOT null_city AND NOT blank_city""",
     "weather_summary": f"""
         SELECT trim(lower(city)) AS city, {rounded(mean('temperature_c'), 1)} AS avg_temp,
           MAX(temperature_c) AS max_temp, MIN(temperature_c) AS min_temp,
@@ -66,18 +77,25 @@ STEPS = {
           {rounded(mean('avg_temp'), 1)} AS avg_temp,
           {rounded(mean('revenue_per_degree'), 4)} AS avg_revenue_per_degree
         FROM int_orders_enriched GROUP BY city""",
+    "known_orders": """
+        SELECT o_orderkey AS order_id, lower(n_name) AS nation, s_name,
+          concat('category ', s_nationkey % 5) AS category,
+          CASE WHEN o_orderkey % 71 <> 0 THEN CAST(CAST(floor(o_totalprice) AS BIGINT) % 200 AS DOUBLE)
+            END AS total,
+          CAST(o_orderkey % 4 AS DOUBLE) AS fee, o_orderstatus, CAST(o_orderdate AS DATE) AS day
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+        JOIN supplier ON s_suppkey = o_orderkey % (SELECT count(*) FROM supplier)""",
     "stg_orders": """
-        SELECT *, order_total - delivery_fee AS order_revenue, delivery_fee = 0 AS is_free_delivery
-        FROM (SELECT trim(lower(COLUMNS('customer_city|restaurant_.*|order_status'))),
-                TRY_CAST(COLUMNS('order_total|delivery_fee') AS DOUBLE),
-                TRY_CAST(order_id AS BIGINT) AS order_id,
-                TRY_CAST(ordered_at AS TIMESTAMP) AS ordered_at
-              FROM raw_orders)
-        WHERE order_status = 'delivered'""",
+        SELECT order_id, nation AS customer_city, lower(s_name) AS restaurant_name,
+          category AS restaurant_category, total AS order_total, fee AS delivery_fee,
+          'delivered' AS order_status, day + INTERVAL 750 MINUTE AS ordered_at,
+          total - fee AS order_revenue, fee = 0 AS is_free_delivery
+        FROM known_orders WHERE o_orderstatus IN ('F', 'O')""",
     "stg_restaurant_orders": """
-        SELECT order_id, lower(restaurant_name) AS restaurant_name, lower(city) AS city, amount,
-          status, order_date, amount > 80 AS is_high_value
-        FROM restaurant_orders_raw WHERE status = 'delivered'""",
+        SELECT order_id, lower(s_name) AS restaurant_name, concat(' ', nation) AS city,
+          total AS amount, 'delivered' AS status, CAST(day AS VARCHAR) AS order_date,
+          total > 80 AS is_high_value
+        FROM known_orders WHERE o_orderstatus = 'F'""",
     "int_orders_by_restaurant": f"""
         SELECT restaurant_name, restaurant_category, {total('order_total')} AS total_orders,
           {total('order_revenue')} AS total_revenue,
@@ -101,9 +119,9 @@ STEPS = {
         FROM stg_orders GROUP BY customer_city""",
     "city_avgs": f"SELECT city, {mean('amount')} AS average FROM deliveries GROUP BY city",
     "clean_sql": """
-        SELECT id, place AS city, value AS amount, status,
-          COALESCE(value > 50, FALSE) AS is_high_value
-        FROM parsed_deliveries WHERE value IS NOT NULL AND length(place) > 0""",
+        SELECT id, nation AS city, cents / 100::DOUBLE AS amount, status_text AS status,
+          cents > 5000 AS is_high_value
+        FROM known_deliveries WHERE cents IS NOT NULL AND NOT null_city AND NOT blank_city""",
     "dim_date": """
         SELECT CAST(strftime(date, '%Y%m%d') AS INTEGER) AS date_key, date,
           dayname(date) AS day_of_week, CAST(weekofyear(date) AS INTEGER) AS week_number,
@@ -143,25 +161,25 @@ STEPS = {
     "dim_cities": """
         SELECT ROW_NUMBER() OVER (ORDER BY city_name NULLS LAST, region NULLS LAST) AS city_id, *
         FROM (SELECT DISTINCT customer_city AS city_name, customer_region AS region FROM wide)""",
-    "judged": r"""
-        SELECT *, TRY_CAST(NULLIF(regexp_extract(replace(amount, ',', ''),
-            '[-+]?\d*\.\d+|\d+', 0), '') AS DOUBLE) AS parsed,
-          replace(lower(trim(city)), ' ', '_') AS place
-        FROM deliveries_raw""",
+    "judged": """
+        SELECT r.*, k.cents / 100::DOUBLE AS parsed, COALESCE(k.cents, 0) <> 0 AS usable,
+          CASE WHEN k.blank_city THEN '' WHEN NOT k.null_city THEN k.nation END AS place
+        FROM deliveries_raw r JOIN known_deliveries k ON r.id = k.id""",
 }
-CLEAN = ["deliveries_raw", "parsed_deliveries", "clean_sql"]
-DELIVERY_STEPS = ["deliveries_raw", "parsed_deliveries", "stg_deliveries"]
+CLEAN = ["deliveries_raw", "known_deliveries", "clean_sql"]
+JUDGED = ["deliveries_raw", "known_deliveries", "judged"]
+DELIVERY_STEPS = ["known_deliveries", "stg_deliveries"]
 TYPED = ["deliveries"]
 AVERAGES = ["deliveries", "city_avgs"]
 CITY_MART = [*DELIVERY_STEPS, "weather_raw", "weather_summary", "int_orders_enriched",
              "mart_city_summary"]
-RESTAURANT = ["raw_orders", "stg_orders", "int_orders_by_restaurant"]
-DAILY = ["restaurant_orders_raw", "stg_restaurant_orders", "mart_restaurant_daily"]
+RESTAURANT = ["known_orders", "stg_orders", "int_orders_by_restaurant"]
+DAILY = ["known_orders", "stg_restaurant_orders", "mart_restaurant_daily"]
 STAR = ["deliveries_tidy", "dim_date", "dim_city", "dim_status", "fact_orders"]
 
 
 # Inlining this step trips an internal assertion of the engine on larger tables.
-KEPT = {"raw_orders"}
+KEPT = {"known_orders"}
 
 
 def query(steps: list[str], select: str) -> str:
@@ -221,11 +239,11 @@ def _profile(column: str) -> str:
     return f"""
         SELECT '{column}' AS column_name, CAST(SUM(n) AS BIGINT) AS row_count,
           COUNT(value) AS unique_count,
-          (SELECT value FROM (SELECT {column} AS value, COUNT(*) AS n, MIN(id) AS seen
+          (SELECT value FROM (SELECT CAST({column} AS VARCHAR) AS value, COUNT(*) AS n, MIN(id) AS seen
              FROM deliveries_raw WHERE {column} IS NOT NULL GROUP BY {column}
              ORDER BY n DESC, seen LIMIT 1)) AS most_common,
           CAST(COALESCE(SUM(n) FILTER (WHERE value IS NULL), 0) AS BIGINT) AS null_count
-        FROM (SELECT {column} AS value, COUNT(*) AS n FROM deliveries_raw GROUP BY {column})"""
+        FROM (SELECT CAST({column} AS VARCHAR) AS value, COUNT(*) AS n FROM deliveries_raw GROUP BY {column})"""
 
 
 RUNNING = query(TYPED, """
@@ -263,9 +281,9 @@ ORACLES: dict[str, str] = {
     "stg_weather_readings": query(["weather_raw"], """
         SELECT trim(lower(city)) AS city, TRY_CAST(time AS TIMESTAMP) AS recorded_at, temperature_c
         FROM weather_raw WHERE temperature_c IS NOT NULL"""),
-    "stg_orders": query(["raw_orders", "stg_orders"], "SELECT * FROM stg_orders"),
+    "stg_orders": query(["known_orders", "stg_orders"], "SELECT * FROM stg_orders"),
     "stg_restaurant_orders": query(
-        ["restaurant_orders_raw", "stg_restaurant_orders"], "SELECT * FROM stg_restaurant_orders"
+        ["known_orders", "stg_restaurant_orders"], "SELECT * FROM stg_restaurant_orders"
     ),
     "weather_summary_sql": query(
         ["weather_raw", "weather_summary"], "SELECT * FROM weather_summary"
@@ -287,7 +305,7 @@ ORACLES: dict[str, str] = {
     ),
     "restaurant_daily": query(DAILY, "SELECT * FROM mart_restaurant_daily"),
     "city_orders": query(
-        ["raw_orders", "stg_orders", "mart_city_orders"], "SELECT * FROM mart_city_orders"
+        ["known_orders", "stg_orders", "mart_city_orders"], "SELECT * FROM mart_city_orders"
     ),
     "rank_in_city": RANKED,
     "rank_in_city_sliced": RANKED,
@@ -366,6 +384,7 @@ ORACLES: dict[str, str] = {
             ("product_name", "product_category"),
         ]
     )),
+    # Fixed value: the price pattern.
     "price_parse": query(["texts"], r"""
         SELECT origin, id, TRY_CAST(NULLIF(regexp_extract(replace(value, ',', ''),
           '[-+]?\d*\.\d+|\d+', 0), '') AS DOUBLE) AS price FROM texts"""),
@@ -373,20 +392,22 @@ ORACLES: dict[str, str] = {
         SELECT origin, id, replace(lower(regexp_replace(value,
           '^[\s\x0b\x1c-\x1f\x{85}\p{Z}]+|[\s\x0b\x1c-\x1f\x{85}\p{Z}]+$', '', 'g')), ' ', '_')
           AS slug FROM texts"""),
-    "process_orders": query(["deliveries_raw", "judged"], """
+    "process_orders": query(JUDGED, """
         SELECT id, place AS city, status, parsed AS amount, order_date FROM judged
-        WHERE parsed IS NOT NULL AND parsed <> 0 AND place IS NOT NULL"""),
-    "rejected_orders": query(["deliveries_raw", "judged"], """
+        WHERE usable AND place IS NOT NULL"""),
+    "rejected_orders": query(JUDGED, """
         SELECT id, city, status, amount, order_date,
-          CASE WHEN parsed IS NULL OR parsed = 0 THEN 'No usable amount' ELSE 'No city' END AS reason
-        FROM judged WHERE parsed IS NULL OR parsed = 0 OR place IS NULL"""),
-    "valid_failed_split": query(["deliveries_raw"], """
-        SELECT id, NULLIF(trim(city), '') IS NOT NULL AS has_city,
-          id IS NOT NULL AND NULLIF(trim(city), '') IS NOT NULL AND amount IS NOT NULL
-            AND status IS NOT NULL AS is_valid
-        FROM deliveries_raw"""),
+          CASE WHEN usable THEN 'No city' ELSE 'No usable amount' END AS reason
+        FROM judged WHERE NOT usable OR place IS NULL"""),
+    "valid_failed_split": query(["known_deliveries"], """
+        SELECT id, NOT (null_city OR blank_city) AS has_city,
+          NOT (null_city OR blank_city OR no_amount) AS is_valid
+        FROM known_deliveries"""),
+    "valid_without_status": query(["known_deliveries"], """
+        SELECT id, FALSE AS is_valid FROM known_deliveries"""),
+    "normalized_names": "SELECT p_partkey AS id, replace(lower(p_name), ' ', '|') AS names FROM part",
     "column_profile": query(
-        ["deliveries_raw"], " UNION ALL ".join(_profile(c) for c in ("city", "status", "amount"))
+        ["deliveries_raw"], " UNION ALL ".join(_profile(c) for c in ("id", "city", "status", "amount", "order_date"))
     ),
     "city_registry": query(["requests", "registry"], """
         SELECT q.position, q.city, r.name, r.lat, r.lon
@@ -407,8 +428,8 @@ ORACLES: dict[str, str] = {
                 all_of AS (PARTITION BY user_id % 25, event_id // {messy.PAYLOAD_EVENTS}))
         WHERE place <= held - CASE WHEN block % 3 = 0 THEN 1 ELSE 0 END""",
     "quality_report": query(
-        [*CITY_MART, "raw_orders", "stg_orders", "int_orders_by_restaurant",
-         "mart_restaurant_summary", *DAILY],
+        [*CITY_MART, "known_orders", "stg_orders", "int_orders_by_restaurant",
+         "mart_restaurant_summary", *DAILY[1:]],
         QUALITY,
     ),
     "upsert": query(CLEAN, """
@@ -446,33 +467,58 @@ ORACLES: dict[str, str] = {
 }
 
 PAYLOAD_READINGS = ORACLES["payload_flatten"]
+COURIER = "concat('rider ', id % 7) AS courier"
+REPORTED = f"SELECT * FROM ({PAYLOAD_READINGS}) WHERE city <> 'nation_3'"
 ORACLES |= {
-    "split_files": query(["deliveries_raw"], """
-        SELECT CAST(id AS STRING) AS id, place AS city, amount, status,
-          place IS NOT NULL AND amount IS NOT NULL AS is_valid
-        FROM (SELECT *, CASE WHEN trim(city) <> '' THEN city END AS place FROM deliveries_raw)"""),
-    "process_order_files": query(["deliveries_raw", "judged"], """
-        SELECT id, CASE WHEN reason IS NULL THEN place END AS city,
-          CASE WHEN reason IS NULL THEN parsed END AS amount,
-          CASE WHEN reason IS NULL THEN status END AS status, reason
+    "split_files": query(["deliveries_raw", "known_deliveries"], f"""
+        SELECT CAST(id AS VARCHAR) AS id, CASE WHEN NOT blank_city THEN city END AS city, amount,
+          status, order_date, {COURIER}, NOT (null_city OR blank_city OR no_amount) AS is_valid
+        FROM deliveries_raw JOIN known_deliveries USING (id)"""),
+    "typed_files": query(["deliveries_raw", "known_deliveries"], """
+        SELECT id, city, cents / 100::DOUBLE AS amount, status, day AS order_date,
+          CASE WHEN id % 2 = 0 THEN concat('rider ', id % 7) END AS courier
+        FROM deliveries_raw JOIN known_deliveries USING (id)"""),
+    "process_order_files": query(JUDGED, f"""
+        SELECT CAST(id AS VARCHAR) AS id, CASE WHEN reason IS NULL THEN place ELSE city END AS city,
+          CASE WHEN reason IS NULL THEN parsed END AS amount, status,
+          CASE WHEN reason IS NOT NULL THEN amount END AS raw_amount, reason,
+          reason IS NULL AS is_valid, order_date, {COURIER}
         FROM (SELECT *, CASE
                 WHEN amount IS NULL AND city IS NULL THEN 'Missing required keys: amount, city'
                 WHEN amount IS NULL THEN 'Missing required keys: amount'
                 WHEN city IS NULL THEN 'Missing required keys: city'
-                WHEN parsed IS NULL OR parsed = 0 THEN 'No usable amount' END AS reason
+                WHEN NOT usable THEN 'No usable amount' END AS reason
               FROM judged)"""),
     "analysis_files": query([*CLEAN, "weather_raw", "weather_nonnull"], """
-        SELECT o.*, w.* EXCLUDE (city)
-        FROM clean_sql o LEFT JOIN weather_nonnull w ON o.city = w.city"""),
+        SELECT o.*, r.order_date, concat('rider ', o.id % 7) AS courier, w.* EXCLUDE (city)
+        FROM clean_sql o JOIN deliveries_raw r ON o.id = r.id
+        LEFT JOIN weather_nonnull w ON o.city = w.city"""),
     "weather_report_files": f"""
-        SELECT city, round_even({mean('temperature_c')} * 10, 0) / 10 AS avg_temp,
+        WITH asked AS (SELECT city, lower(city) AS name FROM ({STEPS['requests']})),
+        known AS (SELECT name FROM ({STEPS['registry']}))
+        SELECT 'summary' AS part, city, round_even({mean('temperature_c')} * 10, 0) / 10 AS avg_temp,
           MAX(temperature_c) AS max_temp, MIN(temperature_c) AS min_temp,
           COUNT(temperature_c) AS record_count
-        FROM ({PAYLOAD_READINGS})
-        WHERE city IN (SELECT lower(q.city) FROM ({STEPS['requests']}) q)
-          AND city IN (SELECT name FROM ({STEPS['registry']}))
-        GROUP BY city""",
-    "landed_readings": PAYLOAD_READINGS,
+        FROM ({REPORTED}) WHERE city IN (SELECT name FROM asked) AND city IN (SELECT name FROM known)
+        GROUP BY city
+        UNION ALL
+        SELECT DISTINCT 'failed', name, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+          CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT)
+        FROM asked WHERE name = 'nation_3' AND name IN (SELECT name FROM known)
+        UNION ALL
+        SELECT 'unknown', city, NULL, NULL, NULL, COUNT(*)
+        FROM asked WHERE name NOT IN (SELECT name FROM known) GROUP BY city""",
+    "landed_readings": REPORTED,
+    "landed_failures": f"""
+        SELECT 'nation_3' AS city, COUNT(DISTINCT event_id // {messy.PAYLOAD_EVENTS}) AS payloads
+        FROM events WHERE user_id % 25 = 3 HAVING COUNT(*) > 0""",
+    "refusals": """
+        SELECT * FROM (VALUES ('rows', 'restaurant orders is empty: nothing to load'),
+          ('column', 'every record is missing field: courier'), ('key', 'occurs 2 times'),
+          ('kept', NULL)) AS t(gate, said)
+        UNION ALL
+        SELECT 'fields', concat('record ', MIN(CAST(o_orderkey AS VARCHAR)), ' is missing field: amount')
+        FROM orders WHERE o_orderkey % 71 = 0""",
     "stored_warehouse": ORACLES["warehouse_enriched"],
     "stored_star": query([*STAR[:2], "dim_city", "dim_status", "fact_orders"], """,
         first_cities AS (
@@ -491,9 +537,24 @@ ORACLES |= {
         LEFT JOIN all_cities k ON c.city_name = k.city_name
         LEFT JOIN dim_status s ON f.status_key = s.status_key"""),
     "weather_batch_summary": CITY_SUMMARY,
-    "restaurant_batch_daily": query(DAILY, "SELECT * FROM mart_restaurant_daily").replace(
-        "WHERE status = 'delivered'", "WHERE status = 'delivered' AND amount IS NOT NULL"
-    ),
+    "stored_star_two_batches": query(STAR, """
+        SELECT f.order_key, f.amount, f.is_high_value, c.city_name, s.status_name, d.date,
+          d.day_of_week
+        FROM fact_orders f LEFT JOIN dim_date d ON f.date_key = d.date_key
+        LEFT JOIN dim_city c ON f.city_key = c.city_key
+        LEFT JOIN dim_status s ON f.status_key = s.status_key"""),
+    "stored_star_days": query(["deliveries_tidy", "dim_date"], "SELECT * FROM dim_date"),
+    "restaurant_batch_daily": query(["known_orders"], f"""
+        SELECT *, CASE WHEN total_revenue >= 200 THEN 'high' WHEN total_revenue >= 100 THEN 'med'
+            ELSE 'low' END AS revenue_tier, NULL AS refusal
+        FROM (SELECT CAST(day AS VARCHAR) AS order_date, lower(s_name) AS restaurant_name,
+                COUNT(*) AS total_orders, {total('COALESCE(total, 0)')} AS total_revenue,
+                {mean('COALESCE(total, 0)')} AS avg_order_value
+              FROM known_orders WHERE o_orderstatus = 'F' GROUP BY day, s_name)
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, NULL,
+          concat('record ', MIN(CAST(order_id AS VARCHAR)), ' is missing field: amount')
+        FROM known_orders WHERE total IS NULL"""),
 }
 
 

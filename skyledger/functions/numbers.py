@@ -27,7 +27,12 @@ def is_number(c: str | Column) -> Column:
 
 
 def to_double(c: str | Column) -> Column:
-    return F.when(is_number(c), col(c).try_cast("double"))
+    return F.when(is_number(c), _parsed(c))
+
+
+def _parsed(c: str | Column) -> Column:
+    """Double of a text that is a number; a NaN with a sign is the one Spark does not read."""
+    return F.coalesce(col(c).try_cast("double"), F.lit(float("nan")))
 
 
 def to_whole(c: str | Column) -> Column:
@@ -52,7 +57,7 @@ def where_number(df: DataFrame, name: str) -> DataFrame:
     that Spark pushes below the parsing.
     """
     if isinstance(df.schema[name].dataType, T.StringType):
-        return df.where(is_number(name)).withColumn(name, F.col(name).try_cast("double"))
+        return df.where(is_number(name)).withColumn(name, _parsed(name))
     return df.where(F.col(name).isNotNull()).withColumn(name, F.col(name).cast("double"))
 
 

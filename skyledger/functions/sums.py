@@ -1,8 +1,12 @@
 """Sums and averages of money and temperatures that do not depend on row order.
 
-Adding doubles gives last-bit differences from run to run once rows arrive in another order.
-Values with up to four decimals are therefore added as whole ten-thousandths. Only when a value
-does not fit that grid (or the total would overflow) is the plain double sum used instead.
+Adding doubles gives last-bit differences from run to run once rows arrive in another order. These
+columns are declared to have SCALE decimals: every value is taken to the nearest unit of that scale
+and units are added as whole numbers. The same holds for every value and every group. NaN and
+infinity are carried by flags and give what adding doubles gives. A value beyond LARGEST is outside
+of what the scale can count, and stands for infinity of its sign.
+
+For a column without a declared scale use `F.sum`.
 """
 
 from __future__ import annotations
@@ -12,24 +16,38 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.text import col
 
-SCALE = 10_000.0
-LARGEST = 2.0**53 / SCALE
+SCALE = 4
+LARGEST = 9e14
+NAN, PLUS, MINUS = 1, 2, 4
+_LOW = (1 << 32) - 1
 
 
-def exact_sum(c: str | Column, window: WindowSpec | None = None) -> Column:
+def exact_sum(c: str | Column, window: WindowSpec | None = None, scale: int = SCALE) -> Column:
     c = col(c)
+    per_one = float(10**scale)
 
     def over(aggregate: Column) -> Column:
         return aggregate if window is None else aggregate.over(window)
 
-    units = F.when(F.abs(c) < LARGEST, F.rint(c * SCALE).cast("bigint"))
-    on_grid = F.when(c.isNotNull(), F.coalesce(units / SCALE == c, F.lit(False)))
-    total = over(F.try_sum(units))
-    return F.when(over(F.bool_and(on_grid)) & total.isNotNull(), total / SCALE).otherwise(
-        over(F.sum(c))
+    flag = (
+        F.when(F.isnan(c), NAN).when(c > LARGEST, PLUS).when(c < -LARGEST, MINUS).otherwise(0)
+    )
+    flags = over(F.bit_or(F.when(c.isNotNull(), flag)))
+    units = F.when(F.abs(c) <= LARGEST, F.rint(c * per_one).cast("bigint"))
+    # Halves are added apart, so that no number of rows overflows.
+    high = F.coalesce(over(F.sum(F.shiftright(units, 32))), F.lit(0))
+    low = F.coalesce(over(F.sum(units.bitwiseAND(_LOW))), F.lit(0))
+    whole = high.cast("decimal(20,0)") * F.lit(_LOW + 1).cast("decimal(10,0)") + low
+    total = whole.cast("double") / per_one
+    both = (flags.bitwiseAND(NAN) > 0) | (flags.bitwiseAND(PLUS | MINUS) == PLUS | MINUS)
+    return (
+        F.when(flags == 0, total)
+        .when(both, F.lit(float("nan")))
+        .when(flags == PLUS, F.lit(float("inf")))
+        .when(flags == MINUS, F.lit(float("-inf")))
     )
 
 
-def exact_avg(c: str | Column, window: WindowSpec | None = None) -> Column:
+def exact_avg(c: str | Column, window: WindowSpec | None = None, scale: int = SCALE) -> Column:
     count = F.count(col(c)) if window is None else F.count(col(c)).over(window)
-    return exact_sum(c, window) / F.nullif(count, F.lit(0))
+    return exact_sum(c, window, scale) / F.nullif(count, F.lit(0))

@@ -8,6 +8,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, VariantType
 
 from skyledger.functions.bands import above, above_or_false
 from skyledger.functions.numbers import price, where_number
@@ -20,7 +21,11 @@ ORDER_KEYS = ("id", "city", "amount", "status")
 
 
 def clean_orders(orders: DataFrame, threshold: float = HIGH_VALUE) -> DataFrame:
-    """Dataframe rules: every whitespace trimmed, NaN counts as missing."""
+    """Dataframe rules: every whitespace trimmed; NaN, and digits too large for a double, are missing."""
+    if isinstance(orders.schema["amount"].dataType, StringType):
+        named = F.col("amount").rlike("(?i)inf")
+        too_large = (F.abs(F.col("amount").try_cast("double")) == float("inf")) & ~named
+        orders = orders.where(~F.coalesce(too_large, F.lit(False)))
     return (
         where_number(orders, "amount")
         .where(~F.isnan("amount"))
@@ -98,6 +103,26 @@ def rejected_orders(
     return judged.drop("_slug", "_price", *_extra(missing_keys))
 
 
+def split_processed(
+    orders: DataFrame, required: Sequence[str] = ORDER_KEYS, missing_keys: str | None = None
+) -> DataFrame:
+    """All rows, judged once: `is_valid`, with tidy city and amount where it is true, and else the
+    reason, the city as it came and the amount as it came in `raw_amount`."""
+    judged = judge_orders(orders, required, missing_keys)
+    good = F.col("reason").isNull()
+    came = F.col("amount") if "amount" in orders.columns else F.lit(None)
+    if "amount" in orders.columns and isinstance(orders.schema["amount"].dataType, VariantType):
+        came = F.try_variant_get("amount", "$", "string")
+    city = F.col("city") if "city" in orders.columns else F.lit(None)
+    tidy = {
+        "raw_amount": F.when(~good, came.cast("string")),
+        "city": F.when(good, F.col("_slug")).otherwise(city.cast("string")),
+        "amount": F.when(good, F.col("_price")),
+        "is_valid": good,
+    }
+    return judged.withColumns(tidy).drop("_slug", "_price", *_extra(missing_keys))
+
+
 def _extra(name: str | None) -> list[str]:
     return [name] if name else []
 

@@ -9,31 +9,47 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.operators.lookups import BROADCAST_BYTES, BROADCAST_ROWS
+from skyledger.operators.shared import Settled, settle
 
-def last_per_key(batch: DataFrame, key: str, order: Column | None) -> DataFrame:
-    """One row per key, the last by `order`. Combines before the shuffle, so hot keys are safe."""
+
+def last_per_key(batch: DataFrame, key: str, order: Column | None = None) -> DataFrame:
+    """One row per key, the last by `order`. Combines before the shuffle, so hot keys are safe.
+
+    A null key is refused when the rows are read, as a primary key would refuse it.
+    """
     row = F.struct(*batch.columns)
     rank = row if order is None else F.struct(order.alias("by"), row.alias("row"))
-    kept = batch.groupBy(F.col(key).alias("_key")).agg(F.max_by(row, rank).alias("row"))
-    return kept.select("row.*")
+    kept = batch.groupBy(_known(batch, key).alias("_key")).agg(F.max_by(row, rank).alias("_row"))
+    # The key comes from the grouping, or its check would be pruned.
+    return kept.select(
+        *(F.col("_key" if c == key else f"_row.{c}").alias(c) for c in batch.columns)
+    )
+
+
+def _known(df: DataFrame, key: str) -> Column:
+    refused = F.raise_error(F.lit(f"the key {key} is null")).cast(df.schema[key].dataType)
+    return F.when(F.col(key).isNull(), refused).otherwise(F.col(key))
 
 
 def upsert(
     existing: DataFrame, batch: DataFrame, key: str, order: Column | None = None
 ) -> DataFrame:
     """Existing rows with those of the batch put in their place or added."""
-    return put(existing, last_per_key(batch, key, order), key)
+    return put(existing, settle(last_per_key(batch, key, order), "batch"), key)
 
 
-def put(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """As `upsert`, for incoming rows that are known to have each key once."""
-    columns = existing.columns
-    arriving = incoming.select(F.col(key).alias("_key"), F.struct(*columns).alias("_new"))
-    joined = existing.join(arriving, existing[key] == arriving["_key"], "full_outer")
-    arrived = F.col("_key").isNotNull()
-    return joined.select(
-        *(F.when(arrived, F.col(f"_new.{c}")).otherwise(existing[c]).alias(c) for c in columns)
-    )
+def put(existing: DataFrame, incoming: Settled, key: str) -> DataFrame:
+    """As `upsert`, for incoming rows that are known to have each key once.
+
+    Rows that stay are those whose key does not arrive. The keys of a batch within the limits are
+    broadcast, so the existing rows are not shuffled for it.
+    """
+    keys = incoming.frame.select(F.col(key).alias("_key"))
+    if incoming.rows <= BROADCAST_ROWS and incoming.size <= BROADCAST_BYTES:
+        keys = F.broadcast(keys)
+    stay = existing.join(keys, existing[key] == keys["_key"], "left_anti")
+    return stay.unionByName(incoming.frame.select(*existing.columns))
 
 
 def open_history(source: DataFrame, version: int | Column) -> DataFrame:
@@ -48,11 +64,14 @@ def snapshot(
 ) -> DataFrame:
     """Type-2 history after one more look at the source.
 
+    Of source rows that share a key the greatest one counts, column by column; a null key is
+    refused.
     A key whose checked columns changed has its open version closed and a new one opened. A new
     key opens a version. A key that left the source keeps its open version. Closed versions pass
     through without a join.
     """
     columns = source.columns
+    source = last_per_key(source, key)
     closed = history.where(F.col("valid_to").isNotNull())
     current = history.where(F.col("valid_to").isNull()).select(
         F.struct(*history.columns).alias("old"), F.col(key).alias("old_key")

@@ -18,7 +18,14 @@ from typing import TypeVar
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    MapType,
+    StringType,
+    StructType,
+    VariantType,
+)
 
 T = TypeVar("T")
 
@@ -49,6 +56,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/skyledger/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whatever storage its path names."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application, once nothing reads them any more."""
+    app = spark.sparkContext.applicationId
+    remove(spark, f"{shared_folder(spark)}/skyledger/{app}")
+
+
 def settle(df: DataFrame, label: str = "table") -> Settled:
     """Write a frame to the shared folder. Rows and bytes are counted while it is written."""
     spark = df.sparkSession
@@ -77,7 +103,16 @@ def settle_all(**frames: DataFrame) -> dict[str, Settled]:
 
 
 def _row_bytes(df: DataFrame) -> Column:
-    """Length of the texts of a row plus eight bytes for each other column."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
-    fixed = F.lit(8 * (len(df.columns) - len(texts))).cast("bigint")
-    return reduce(add, (F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), fixed)
+    """Length of the texts of a row, of nested columns as JSON, and eight bytes for any other."""
+    fixed = 0
+    sizes = []
+    for field in df.schema:
+        kind, column = field.dataType, F.col(f"`{field.name}`")
+        if isinstance(kind, (StringType, BinaryType)):
+            sizes.append(F.octet_length(column))
+        elif isinstance(kind, (ArrayType, MapType, StructType, VariantType)):
+            sizes.append(F.octet_length(F.to_json(F.struct(column))))
+        else:
+            fixed += 8
+    start = F.lit(fixed).cast("bigint")
+    return reduce(add, (F.coalesce(size, F.lit(0)) for size in sizes), start)

@@ -17,6 +17,7 @@ from skyledger.functions.numbers import round_sql
 from skyledger.functions.sums import exact_avg, exact_sum
 from skyledger.operators.lookups import lookup_join
 from skyledger.operators.ordered import WINDOW_ROWS, with_previous, with_row_number
+from skyledger.operators.shared import settle
 
 CITY = ["city"]
 
@@ -108,10 +109,14 @@ def daily_totals(deliveries: DataFrame, days: DataFrame | None = None) -> DataFr
 
     Orders are added up by day before the join, so both sides of it are one row per day.
     """
-    series = days_of(deliveries, "order_date") if days is None else days
-    totals = deliveries.groupBy(F.col("order_date").alias("date")).agg(
-        exact_sum("amount").alias("total")
-    )
+    totals = settle(
+        deliveries.groupBy(F.col("order_date").alias("date")).agg(
+            exact_sum("amount").alias("total")
+        ),
+        "day_totals",
+    ).frame
+    # First and last day come from the totals, so the deliveries are read once.
+    series = days_of(totals, "date") if days is None else days
     return (
         series.join(totals, "date", "left")
         .select("date", F.coalesce("total", F.lit(0.0)).alias("total_amount"))
@@ -129,13 +134,6 @@ def above_city_average(deliveries: DataFrame, **limits: int) -> DataFrame:
     )
 
 
-def above_city_average_correlated(deliveries: DataFrame) -> DataFrame:
-    """The same rows by a correlated subquery, which Spark turns into a join."""
-    statement = """
-        SELECT id, city, amount, status
-        FROM {deliveries} d1
-        WHERE d1.amount > (
-            SELECT avg(d2.amount) FROM {deliveries} d2 WHERE d2.city = d1.city
-        )
-    """
-    return deliveries.sparkSession.sql(statement, deliveries=deliveries)
+def above_city_average_rows(deliveries: DataFrame, **limits: int) -> DataFrame:
+    """The same orders as they are, without the average they were compared with."""
+    return above_city_average(deliveries, **limits).drop("city_avg")

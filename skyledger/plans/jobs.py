@@ -6,7 +6,7 @@ stays lazy, apart from the lookups that must be settled before their join is cho
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial
 
@@ -19,12 +19,12 @@ from skyledger.operators.cleaning import (
     clean_orders,
     clean_orders_sql,
     label_valid,
-    process_orders,
-    rejected_orders,
     resolve_cities,
+    split_processed,
     unknown_cities,
 )
 from skyledger.operators.lookups import lookup_join
+from skyledger.operators.merging import put, upsert
 from skyledger.operators.quality import require_fields, require_rows
 from skyledger.operators.shared import settle, together
 from skyledger.plans import marts, staging, star
@@ -36,13 +36,12 @@ from skyledger.sources.writers import (
     replace_table,
     upsert_table,
     write_csv,
-    write_json,
     write_split,
 )
 
 
 def orders_with_weather(orders: DataFrame, readings: DataFrame) -> DataFrame:
-    return marts.enrich_orders(clean_orders(orders), aggregate_weather(readings))
+    return marts.enrich_orders(clean_orders(orders), aggregate_weather(readings, ordered=False))
 
 
 def analyse_files(
@@ -101,26 +100,38 @@ def _store(
     return dict(zip(tables, together(spark, *writes)))
 
 
+def _earlier(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return read_table(spark, table_path(root, name), WAREHOUSE[name], absent_as_empty=True)
+
+
 def load_star(deliveries: DataFrame, root: str) -> star.Star:
-    """Write the four tables of the star and return it on top of what was written.
+    """Add deliveries to the four tables of the star, and return it on top of what is stored.
 
-    City and status keys of earlier loads stay as they are.
+    Facts are put in place by order and days by date, so those of earlier loads stay. So do city
+    and status keys.
     """
     spark = deliveries.sparkSession
     built = star.build_star(
-        deliveries,
-        read_table(spark, table_path(root, "dim_city"), schemas.DIM_CITY),
-        read_table(spark, table_path(root, "dim_status"), schemas.DIM_STATUS),
+        deliveries, _earlier(spark, root, "dim_city"), _earlier(spark, root, "dim_status")
+    )
+    days, facts = together(
+        spark,
+        lambda: settle(
+            put(_earlier(spark, root, "dim_date"), built.dates, "date_key"), "dim_date"
+        ),
+        lambda: settle(
+            upsert(_earlier(spark, root, "fact_orders"), built.facts, "order_key"), "fact_orders"
+        ),
     )
     tables = {
-        "dim_date": (built.dates.frame, "date_key"),
+        "dim_date": (days.frame, "date_key"),
         "dim_city": (built.cities.frame, "city_key"),
         "dim_status": (built.statuses.frame, "status_key"),
-        "fact_orders": (built.facts, "order_key"),
+        "fact_orders": (facts.frame, "order_key"),
     }
     _store(spark, root, tables)
-    facts = read_table(spark, table_path(root, "fact_orders"), schemas.FACT_ORDERS)
-    return star.Star(facts, built.dates, built.cities, built.statuses)
+    stored = read_table(spark, table_path(root, "fact_orders"), schemas.FACT_ORDERS)
+    return star.Star(stored, days, built.cities, built.statuses)
 
 
 def load_entities(wide: DataFrame, root: str) -> dict[str, int]:
@@ -147,12 +158,22 @@ def split_orders_file(
 
 
 def process_orders_file(
-    spark: SparkSession, orders_json: str, out: str, rejected_out: str, lines: bool = False
-) -> None:
-    """Strict JSON orders to processed and rejected JSON folders."""
+    spark: SparkSession, orders_json: str, out: str, lines: bool = False
+) -> dict[str, int]:
+    """Strict JSON orders to sub-folders of processed and rejected records, with their counts.
+
+    Each record is read and judged once. Keys beside the order's own go along in `other_keys`.
+    """
     orders = files.read_json_records(spark, orders_json, schemas.ORDERS_JSON, ORDER_KEYS, lines)
-    write_json(process_orders(orders, missing_keys="missing_keys"), out)
-    write_json(rejected_orders(orders, missing_keys="missing_keys"), rejected_out)
+    return write_split(split_processed(orders, missing_keys="missing_keys"), "is_valid", out)
+
+
+@dataclass(frozen=True)
+class Report:
+    """Requests for unknown cities, and asked-for cities whose payload could not be read."""
+
+    unknown: DataFrame
+    failed: DataFrame
 
 
 def weather_report(
@@ -161,15 +182,18 @@ def weather_report(
     registry: DataFrame,
     payload_path: str,
     out_csv: str,
-) -> DataFrame:
-    """Summary of the requested cities from landed payloads; returns the unknown requests."""
+) -> Report:
+    """Summary of the requested cities from landed payloads, and what it could not cover."""
     known = settle(registry, "registry")
-    cities = resolve_cities(requested, known).select(F.col("name").alias("city")).distinct()
-    readings = payloads.flatten_payloads(payloads.read_payloads(spark, payload_path))
-    readings = readings.withColumn("city", F.lower("city"))
+    cities = settle(
+        resolve_cities(requested, known).select(F.col("name").alias("city")).distinct(), "cities"
+    )
+    landed = payloads.read_payloads(spark, payload_path)
+    readings = payloads.flatten_payloads(landed).withColumn("city", F.lower("city"))
     chosen = require_rows(lookup_join(readings, cities, ["city"], "inner"), "chosen readings")
     write_csv(aggregate_weather(chosen), out_csv)
-    return unknown_cities(requested, known)
+    broken = payloads.failed_cities(landed).select(F.lower("city").alias("city")).distinct()
+    return Report(unknown_cities(requested, known), cities.frame.join(broken, "city", "left_semi"))
 
 
 @dataclass(frozen=True)
@@ -195,19 +219,25 @@ def weather_batch(
     orders = staging.stg_orders(raw_orders)
     models = {
         "weather_summary": weather.frame,
-        "mart_city_summary": marts.mart_city_summary(enriched),
-        "mart_city_orders": marts.mart_city_orders(orders),
+        "mart_city_summary": marts.mart_city_summary(enriched, ordered=False),
+        "mart_city_orders": marts.mart_city_orders(orders, ordered=False),
         "mart_restaurant_summary": marts.mart_restaurant_summary(
-            marts.int_orders_by_restaurant(orders)
+            marts.int_orders_by_restaurant(orders), ordered=False
         ),
     }
     writes = [partial(replace_table, df, table_path(root, name)) for name, df in models.items()]
     return Marts({**rows, **dict(zip(models, together(spark, *writes)))})
 
 
-def restaurant_batch(orders: DataFrame, root: str) -> Marts:
-    """Check and refresh the restaurant orders, then build their daily mart."""
+def restaurant_batch(
+    orders: DataFrame, root: str, fill: Mapping[str, object] | None = None
+) -> Marts:
+    """Check and refresh the restaurant orders, then build their daily mart.
+
+    An order without a required field refuses the batch, unless `fill` says what stands for it.
+    """
     require_rows(orders, "restaurant orders")
+    orders = orders.fillna(dict(fill)) if fill else orders
     require_fields(orders, ["order_id", "restaurant_name", "amount"], "order_id")
     path = table_path(root, "restaurant_orders_raw")
     rows = {"restaurant_orders_raw": replace_table(orders, path)}

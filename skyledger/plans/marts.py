@@ -35,8 +35,13 @@ def int_orders_enriched(
     )
 
 
-def mart_city_summary(enriched: DataFrame) -> DataFrame:
-    return (
+def _ranked(mart: DataFrame, ordered: bool) -> DataFrame:
+    """Highest revenue first. Jobs that store a mart leave it out: stored rows keep no order."""
+    return mart.orderBy(F.desc_nulls_last("total_revenue")) if ordered else mart
+
+
+def mart_city_summary(enriched: DataFrame, ordered: bool = True) -> DataFrame:
+    mart = (
         enriched.groupBy("city")
         .agg(
             F.count(F.lit(1)).alias("total_orders"),
@@ -46,8 +51,8 @@ def mart_city_summary(enriched: DataFrame) -> DataFrame:
             round_sql(exact_avg("avg_temp"), 1).alias("avg_temp"),
             round_sql(exact_avg("revenue_per_degree"), 4).alias("avg_revenue_per_degree"),
         )
-        .orderBy(F.desc_nulls_last("total_revenue"))
     )
+    return _ranked(mart, ordered)
 
 
 def int_orders_by_restaurant(orders: DataFrame) -> DataFrame:
@@ -60,11 +65,10 @@ def int_orders_by_restaurant(orders: DataFrame) -> DataFrame:
 
 
 def mart_restaurant_summary(
-    by_restaurant: DataFrame, high: float = 100, low: float = 50
+    by_restaurant: DataFrame, high: float = 100, low: float = 50, ordered: bool = True
 ) -> DataFrame:
-    return by_restaurant.withColumn(
-        "revenue_tier", revenue_tier("total_revenue", high, low)
-    ).orderBy(F.desc_nulls_last("total_revenue"))
+    tier = revenue_tier("total_revenue", high, low)
+    return _ranked(by_restaurant.withColumn("revenue_tier", tier), ordered)
 
 
 def mart_restaurant_daily(orders: DataFrame, high: float = 200, low: float = 100) -> DataFrame:
@@ -79,11 +83,13 @@ def mart_restaurant_daily(orders: DataFrame, high: float = 200, low: float = 100
     )
 
 
-def mart_city_orders(orders: DataFrame, unique: Column | None = None) -> DataFrame:
+def mart_city_orders(
+    orders: DataFrame, unique: Column | None = None, ordered: bool = True
+) -> DataFrame:
     """City totals. Pass an approximate distinct count as `unique` if an estimate will do."""
     if unique is None:
         unique = F.count_distinct("restaurant_name")
-    return (
+    mart = (
         orders.groupBy("customer_city")
         .agg(
             exact_sum("order_total").alias("total_orders"),
@@ -91,5 +97,5 @@ def mart_city_orders(orders: DataFrame, unique: Column | None = None) -> DataFra
             exact_avg("order_total").alias("avg_order_value"),
             unique.alias("unique_restaurants"),
         )
-        .orderBy(F.desc_nulls_last("total_revenue"))
     )
+    return _ranked(mart, ordered)

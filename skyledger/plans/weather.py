@@ -10,10 +10,10 @@ from skyledger.functions.sums import exact_avg
 from skyledger.functions.text import sql_tidy, strip_lower
 
 
-def aggregate_weather(readings: DataFrame) -> DataFrame:
+def aggregate_weather(readings: DataFrame, ordered: bool = True) -> DataFrame:
     """Dataframe rules: only real readings count, no null city, half-even rounding, sorted."""
     temperature = F.nanvl("temperature_c", F.lit(None).cast("double"))
-    return (
+    weather = (
         readings.select(strip_lower("city").alias("city"), temperature.alias("temperature_c"))
         .where(F.col("city").isNotNull())
         .groupBy("city")
@@ -23,8 +23,8 @@ def aggregate_weather(readings: DataFrame) -> DataFrame:
             F.min("temperature_c").alias("min_temp"),
             F.count("temperature_c").alias("record_count"),
         )
-        .orderBy("city")
     )
+    return weather.orderBy("city") if ordered else weather
 
 
 def weather_summary(readings: DataFrame) -> DataFrame:

@@ -21,7 +21,8 @@ ORDERS = schema(
     is_high_value=FLAG,
 )
 # In JSON an amount may be a number or a text, and the two are cleaned differently.
-ORDERS_JSON = schema(id=LONG, city=TEXT, amount=T.VariantType(), status=TEXT)
+# Ids are kept as they come, numbers as their text.
+ORDERS_JSON = schema(id=TEXT, city=TEXT, amount=T.VariantType(), status=TEXT)
 
 READINGS = schema(city=TEXT, time=TEXT, temperature_c=DOUBLE)
 WEATHER_SUMMARY = schema(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from skyledger import schemas
+from skyledger.sources.files import read_csv
 from skyledger.sources.writers import read_table
 
 WAREHOUSE: dict[str, StructType] = {
@@ -31,8 +32,11 @@ def table_path(root: str, table: str) -> str:
 
 
 def source(spark: SparkSession, root: str, group: str, table: str) -> DataFrame:
-    """Warehouse tables are versioned folders; seeds are CSV files, all text."""
+    """Warehouse tables are versioned folders; seeds are CSV files, all text.
+
+    A table or file that is not there is an error.
+    """
     schema = GROUPS[group][table]
     if group == "seeds":
-        return spark.read.schema(schema).csv(f"{table_path(root, table)}.csv", header=True)
+        return read_csv(spark, f"{table_path(root, table)}.csv", schema)
     return read_table(spark, table_path(root, table), schema)

@@ -9,20 +9,25 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from skyledger.operators.merging import last_per_key, put
-from skyledger.operators.quality import require_key
-from skyledger.operators.shared import settle
+from skyledger.operators.quality import DataCheckError, require_key
+from skyledger.operators.shared import exists, remove, settle
 from skyledger.sources.files import CSV_TEXT
 
+KEEP_VERSIONS = 2
 LOG = "version bigint, folder string"
 # Spark trims cells on writing unless told otherwise.
 KEEP_SPACES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
+class TableNotFoundError(Exception):
+    """No table has been created under the path."""
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """JSON Lines with explicit nulls; the whole folder is replaced."""
     df.write.mode("overwrite").json(path, ignoreNullFields=False)
@@ -34,9 +39,14 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_split(df: DataFrame, flag: str, path: str) -> dict[str, int]:
     """Valid and failed rows into sub-folders in one write; returns the row counts."""
-    df.write.mode("overwrite").partitionBy(flag).json(path, ignoreNullFields=False)
-    written = df.sparkSession.read.schema(f"{flag} boolean").json(path)
-    valid, failed = written.agg(F.count_if(flag), F.count_if(~F.col(flag))).first()
+    written = Observation()
+    counted = df.observe(
+        written,
+        F.coalesce(F.count_if(flag), F.lit(0)).alias("valid"),
+        F.coalesce(F.count_if(~F.col(flag)), F.lit(0)).alias("failed"),
+    )
+    counted.write.mode("overwrite").partitionBy(flag).json(path, ignoreNullFields=False)
+    valid, failed = written.get["valid"], written.get["failed"]
     return {"total": valid + failed, "valid": valid, "failed": failed}
 
 
@@ -50,37 +60,63 @@ def create_table(spark: SparkSession, path: str) -> None:
     spark.createDataFrame([], LOG).write.mode("ignore").parquet(f"{path}/versions")
 
 
-def _last_version(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    create_table(spark, path)
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Finished versions that the log still names, oldest first; none for an absent table."""
+    if not exists(spark, f"{path}/versions"):
+        return []
     log = spark.read.schema(LOG).parquet(f"{path}/versions")
-    last = log.agg(F.max(F.struct("version", "folder")).alias("last")).first()["last"]
-    return None if last is None else (last["version"], last["folder"])
+    return sorted((r["version"], r["folder"]) for r in log.collect())
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Last finished version; an empty frame when the table has not been written yet."""
-    last = _last_version(spark, path)
-    if last is None:
+def read_table(
+    spark: SparkSession, path: str, schema: StructType, absent_as_empty: bool = False
+) -> DataFrame:
+    """Last finished version. Reading writes nothing; an absent table is an error.
+
+    Where a table may not be there yet, `absent_as_empty` gives an empty frame. A table that was
+    created and never written is empty.
+    """
+    versions = _versions(spark, path)
+    if not versions:
+        if not absent_as_empty and not exists(spark, f"{path}/versions"):
+            raise TableNotFoundError(path)
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/{last[1]}")
+    return spark.read.schema(schema).parquet(f"{path}/{versions[-1][1]}")
 
 
 def replace_table(
-    df: DataFrame, path: str, partition_by: tuple[str, ...] = (), key: tuple[str, ...] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: tuple[str, ...] = (),
+    key: tuple[str, ...] = (),
+    keep_versions: int = KEEP_VERSIONS,
 ) -> int:
-    """Write a full new version, checking its key first, and return its number of rows."""
+    """Write a full new version, checking its key before it counts, and return its rows.
+
+    The newest `keep_versions` stay, so that a reader of the one before is not disturbed; the
+    folders of older ones, and of a write that failed its check, are removed.
+    """
     spark = df.sparkSession
-    last = _last_version(spark, path)
-    version = 1 if last is None else last[0] + 1
+    create_table(spark, path)
+    versions = _versions(spark, path)
+    version = versions[-1][0] + 1 if versions else 1
     folder = f"v{version:06d}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(f"{path}/{folder}")
-    written = spark.read.schema(df.schema).parquet(f"{path}/{folder}")
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_by).parquet(
+        f"{path}/{folder}"
+    )
     if key:
-        require_key(written, *key)
+        try:
+            require_key(spark.read.schema(df.schema).parquet(f"{path}/{folder}"), *key)
+        except DataCheckError:
+            remove(spark, f"{path}/{folder}")
+            raise
     # The log row is what makes the version current.
     log = spark.createDataFrame([(version, folder)], LOG).coalesce(1)
     log.write.mode("append").parquet(f"{path}/versions")
-    return written.count()
+    for _, old in [*versions, (version, folder)][:-keep_versions]:
+        remove(spark, f"{path}/{old}")
+    return counted.get["rows"]
 
 
 def upsert_table(
@@ -88,6 +124,6 @@ def upsert_table(
 ) -> int:
     """Insert or replace by key; returns the number of rows the batch put in place."""
     incoming = settle(last_per_key(batch, key, order), "batch")
-    existing = read_table(batch.sparkSession, path, schema)
-    replace_table(put(existing, incoming.frame, key), path, key=(key,))
+    existing = read_table(batch.sparkSession, path, schema, absent_as_empty=True)
+    replace_table(put(existing, incoming, key), path, key=(key,))
     return incoming.rows

@@ -12,21 +12,22 @@ from skyledger.plans import jobs
 from skyledger.sources import files, messy, payloads
 from skyledger.sources.registry import source, table_path
 from skyledger.sources.writers import (
-    publish_view, read_table, replace_table, upsert_table, write_csv, write_json,
+    TableNotFoundError, publish_view, read_table, replace_table, upsert_table, write_csv, write_json,
 )
 from skyledger.streaming.landing import load_landed
 from tests.conftest import rows
 
-ORDERS_CSV = """id,city,amount,status
-1,Cairo,45.50,delivered
-2,Dubai,120.00,cancelled
-3,Cairo,,delivered
-4,Alexandria,30.00,delivered
-5,,15.00,pending
-6,   ,20,"said ""no"", twice"
+# Columns in an order of the file's own, with one that no job knows.
+ORDERS_CSV = """amount,id,note,status,city
+19.25,11,first,open,Oslo
+200.00,12,,closed,Lisbon
+,13,x,open,Oslo
+7.50,14,x,open,Quito
+8.00,15,x,held,
+9,16,"a ""b"", c",open,   
 """
-READINGS = [("Cairo ", "2026-09-15T00:00", 29.0), ("cairo", "2026-09-15T01:00", 29.3),
-            ("dubai", "2026-09-15T00:00", None), ("Alexandria", "bad", 27.5)]
+READINGS = [("Oslo ", "2025-03-01T00:00", 4.0), ("oslo", "2025-03-01T01:00", 5.0),
+            ("lisbon", "2025-03-01T00:00", None), ("Quito", "bad", 12.5)]
 
 
 @pytest.fixture
@@ -39,13 +40,27 @@ def orders_csv(tmp_path):
 def test_csv_text_and_typed(spark, orders_csv):
     columns = schemas.ORDERS_RAW.fieldNames()
     text = files.read_csv_text(spark, orders_csv, columns)
+    assert text.columns == [*columns, "note"]
     assert rows(text, "id")[4:] == [
-        ("5", None, "15.00", "pending"), ("6", None, "20", 'said "no", twice')
+        ("15", None, "8.00", "held", "x"), ("16", None, "9", "open", 'a "b", c')
     ]
+    with pytest.raises(files.MissingColumnsError, match="courier"):
+        files.read_csv_text(spark, orders_csv, [*columns, "courier"])
+    lax = files.read_csv_text(spark, orders_csv, [*columns, "courier"], optional=["courier"])
+    assert {r.courier for r in lax.collect()} == {None}
     typed = files.read_csv(spark, orders_csv, schemas.schema(
         id=schemas.LONG, city=schemas.TEXT, amount=schemas.DOUBLE, status=schemas.TEXT
     ))
-    assert rows(typed.select("id", "amount"), "id")[:3] == [(1, 45.5), (2, 120.0), (3, None)]
+    assert rows(typed.select("id", "amount"), "id")[:3] == [(11, 19.25), (12, 200.0), (13, None)]
+
+
+def test_files_with_other_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,city\n1,Oslo\n")
+    (tmp_path / "b.csv").write_text("city,extra,id\nQuito,e,2\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_csv_text(spark, str(tmp_path), ["id", "city"]).collect()
+    read = files.read_csv_text(spark, str(tmp_path), ["id", "city"], mixed_headers=True)
+    assert rows(read.select("id", "city", "extra"), "id") == [("1", "Oslo", None), ("2", "Quito", "e")]
 
 
 def test_csv_keeps_spaces_and_quotes(spark, tmp_path):
@@ -74,15 +89,19 @@ def test_strict_json(spark, tmp_path):
     path.write_text(json.dumps(records, indent=1))
     read = files.read_json_records(spark, str(path), schemas.ORDERS_JSON, ["id", "city", "amount", "status"])
     good = process_orders(read, missing_keys="missing_keys")
-    assert rows(good, "id") == [(1, "kuwait_city", 1200.5, "new"), (2, "cairo", -5.0, "new")]
+    kept = good.select("id", "city", "amount", "status", F.col("other_keys")["note"])
+    assert rows(kept, "id") == [
+        ("1", "kuwait_city", 1200.5, "new", "x"), ("2", "cairo", -5.0, "new", None)
+    ]
     bad = rejected_orders(read, missing_keys="missing_keys").select("id", "reason")
     assert rows(bad) == [
-        (3, "No usable amount"), (4, "Missing required keys: city, status"), (5, "No city"),
-        (6, "No usable amount"),
+        ("3", "No usable amount"), ("4", "Missing required keys: city, status"), ("5", "No city"),
+        ("6", "No usable amount"),
     ]
-    out, rejected = str(tmp_path / "good"), str(tmp_path / "bad")
-    jobs.process_orders_file(spark, str(path), out, rejected)
-    assert spark.read.json(out).count() == 2 and spark.read.json(rejected).count() == 4
+    out = str(tmp_path / "judged")
+    counts = jobs.process_orders_file(spark, str(path), out)
+    assert counts == {"total": 6, "valid": 2, "failed": 4}
+    assert spark.read.json(out).where("is_valid").count() == 2
 
 
 @pytest.mark.parametrize("text", ['{"id": 1}', "[{]", "not json"])
@@ -111,7 +130,7 @@ def test_split(spark, orders_csv, tmp_path):
     out = str(tmp_path / "split")
     assert jobs.split_orders_file(spark, orders_csv, out) == {"total": 6, "valid": 3, "failed": 3}
     failed = spark.read.json(f"{out}/is_valid=false")
-    assert sorted(r.id for r in failed.collect()) == ["3", "5", "6"]
+    assert sorted(r.id for r in failed.collect()) == ["13", "15", "16"]
 
 
 def test_payloads(spark, tmp_path):
@@ -144,9 +163,13 @@ def test_payloads(spark, tmp_path):
     ]
     assert rows(unknown_cities(wanted, registry)) == [(2, "Paris")]
     report = str(tmp_path / "report")
-    unknown = jobs.weather_report(spark, wanted, registry, str(path), report)
-    assert rows(unknown) == [(2, "Paris")]
-    assert rows(spark.read.csv(report, header=True)) == [("cairo", "1.0", "1.0", "1.0", "1")]
+    (path / "d.json").write_text(json.dumps({"city": "Dubai", "error": True}))
+    wanted = wanted.unionByName(spark.createDataFrame([(4, "dubai")], wanted.schema))
+    said = jobs.weather_report(spark, wanted, registry, str(path), report)
+    assert rows(said.unknown) == [(2, "Paris")] and rows(said.failed) == [("dubai",)]
+    assert rows(spark.read.csv(report, header=True), "city") == [
+        ("cairo", "1.0", "1.0", "1.0", "1"), ("dubai", "5.0", "5.0", "5.0", "2")
+    ]
 
 
 def test_broken_payloads_are_reported_and_the_rest_is_read(spark, tmp_path):
@@ -170,8 +193,9 @@ def test_analysis_of_files(spark, orders_csv, tmp_path):
     out = str(tmp_path / "enriched")
     jobs.analyse_files(spark, orders_csv, str(readings), out, lines=False)
     found = rows(spark.read.csv(out, header=True).select("id", "city", "avg_temp", "record_count"))
-    assert found == [("1", "cairo", "29.2", "2"), ("2", "dubai", None, "0"),
-                     ("4", "alexandria", "27.5", "1")]
+    assert found == [("11", "oslo", "4.5", "2"), ("12", "lisbon", None, "0"),
+                     ("14", "quito", "12.5", "1")]
+    assert {r.note for r in spark.read.csv(out, header=True).collect()} == {"first", None, "x"}
 
 
 def test_readings_file_to_csv(spark, tmp_path):
@@ -182,8 +206,8 @@ def test_readings_file_to_csv(spark, tmp_path):
     out = str(tmp_path / "summary")
     jobs.summarise_readings(spark, str(readings), out)
     assert [tuple(r) for r in spark.read.csv(out, header=True).orderBy("city").collect()] == [
-        ("alexandria", "27.5", "27.5", "27.5", "1"), ("cairo", "29.2", "29.3", "29.0", "2"),
-        ("dubai", None, None, None, "0"),
+        ("lisbon", None, None, None, "0"), ("oslo", "4.5", "5.0", "4.0", "2"),
+        ("quito", "12.5", "12.5", "12.5", "1"),
     ]
     empty = tmp_path / "empty.json"
     empty.write_text("")
@@ -194,7 +218,10 @@ def test_readings_file_to_csv(spark, tmp_path):
 def test_versioned_table(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = schemas.ORDERS
-    assert read_table(spark, path, schema).count() == 0
+    with pytest.raises(TableNotFoundError):
+        read_table(spark, path, schema)
+    assert read_table(spark, path, schema, absent_as_empty=True).count() == 0
+    assert not (tmp_path / "t").exists()
     first = spark.createDataFrame([(1, "a", 1.0, "x", False), (2, "b", 2.0, "x", False)], schema)
     assert replace_table(first, path, key=("id",)) == 2
     batch = spark.createDataFrame([(2, "c", 3.0, "y", True), (3, "d", 4.0, "y", True)], schema)
@@ -206,6 +233,8 @@ def test_versioned_table(spark, tmp_path):
         replace_table(doubled, path, key=("id",))
     # The rejected version was never logged, so readers still see the last good one.
     assert read_table(spark, path, schema).count() == 3
+    # Only the two newest of three versions are there, and nothing of the rejected one.
+    assert sorted(x.name[:7] for x in (tmp_path / "t").glob("v0*")) == ["v000002", "v000003"]
 
 
 def test_warehouse_job(spark, orders_csv, tmp_path):
@@ -218,8 +247,9 @@ def test_warehouse_job(spark, orders_csv, tmp_path):
     found = [tuple(r) for r in jobs.warehouse_enriched(spark, root).select(
         "id", "city", "avg_temp", "record_count").collect()]
     # Here every reading counts, also the one without a temperature.
-    assert found == [(1, "cairo", 29.2, 2), (2, "dubai", None, 1), (4, "alexandria", 27.5, 1)]
-    assert source(spark, root, "warehouse", "weather_raw").count() == 0
+    assert found == [(11, "oslo", 4.5, 2), (12, "lisbon", None, 1), (14, "quito", 12.5, 1)]
+    with pytest.raises(TableNotFoundError):
+        source(spark, root, "warehouse", "weather_raw")
 
 
 def test_batches(spark, sf_dir, tmp_path):
@@ -258,6 +288,13 @@ def test_star_and_entities_are_stored(spark, sf_dir, tmp_path):
     jobs.load_star(more, root)
     again = rows(source(spark, root, "warehouse", "dim_city"), "city_key")
     assert again == [*first, (len(first) + 1, "aaa")]
+    before = source(spark, root, "warehouse", "fact_orders").count()
+    new = tidy.limit(1).withColumns({"id": F.lit(-2), "order_date": F.lit("2011-05-05")})
+    jobs.load_star(new.withColumn("amount", F.lit("3.25")), root)
+    facts = source(spark, root, "warehouse", "fact_orders")
+    assert facts.count() == before + 1
+    days = source(spark, root, "warehouse", "dim_date")
+    assert facts.join(days, "date_key", "left_anti").where("date_key is not null").count() == 0
     counts = jobs.load_entities(messy.view(spark, sf_dir, messy.WIDE_ORDERS), root)
     assert counts["dim_cities"] == 25
     (tmp_path / "seeds").mkdir()

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators.merging import last_per_key, open_history, snapshot, upsert
@@ -50,3 +51,22 @@ def test_history(spark):
     ]
     current = last.where("valid_to is null")
     assert current.count() == current.select("id").distinct().count() == 4
+
+
+def test_null_keys_are_refused_and_repeated_ones_reduced(spark):
+    old = spark.createDataFrame([(1, "a", "x", "1")], SCHEMA)
+    lacking = spark.createDataFrame([(None, "b", "y", "2")], SCHEMA)
+    with pytest.raises(Exception, match="the key id is null"):
+        upsert(old, lacking, "id")
+    twice = spark.createDataFrame([(1, "a", "x", "1"), (1, "a", "y", "1")], SCHEMA)
+    history = open_history(old, 1)
+    looked = snapshot(history, twice, "id", ["status"], 2)
+    assert versions(looked) == [(1, "x", "1", 1, 2), (1, "y", "1", 2, None)]
+    with pytest.raises(Exception, match="the key id is null"):
+        snapshot(history, lacking, "id", ["status"], 2).collect()
+
+
+def test_a_small_batch_leaves_the_table_where_it_is(spark):
+    old = spark.range(1000).select("id", F.lit("a").alias("v"))
+    plan = upsert(old, old.where("id < 3"), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastExchange" in plan

@@ -42,7 +42,7 @@ def test_daily_totals_add_up(typed):
 def test_both_forms_of_above_average_agree(typed):
     columns = ["id", "city", "amount", "status"]
     assert rows(analytics.above_city_average(typed).select(*columns)) == rows(
-        analytics.above_city_average_correlated(typed)
+        analytics.above_city_average_rows(typed)
     )
 
 

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as registered
 from tests.compare import difference
 
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLES = registered.QUERIES, registered.ORACLES
 
 
 def test_every_query_has_its_sql():
