@@ -1,0 +1,49 @@
+import pytest
+
+from skyledger.llm import secret_scan
+from tests.llm.samples import SCHEMA, documents, frame, prose
+
+KEY = "AKIA" + "Q7ZK2M5X9TB4W8RD"
+PLANTED = [
+    ("aws", f"take {KEY} now", KEY),
+    ("password", "with password=9f31c0de77ab4412ee set", "9f31c0de77ab4412ee"),
+    ("token", 'then token = "0f9a8b7c6d5e4f3a2b1c0d9e8f7a6b5c4d3e2f1a" ends', "0f9a8b7c6d5e4f3a2b1c0d9e8f7a6b5c4d3e2f1a"),
+    ("sha", "sha256 2c26b46b68ffc68ff99b453c1d30413413422d706483bfa0f98a5e886266e7ae file", None),
+    ("number", "call 4111111111111111 or so", None),
+    ("name", "see river_stone_2041 there", None),
+]
+
+
+@pytest.fixture(scope="module")
+def trained(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    known = secret_scan.dictionary(docs)
+    return secret_scan.train(secret_scan.labelled_findings(docs), known), known
+
+
+def test_secrets_are_kept_and_others_dismissed(spark, trained):
+    rows = [(i, text, None, None, 1, 1, "x") for i, (_, text, _) in enumerate(PLANTED)]
+    found = secret_scan.scan(frame(spark, rows), ["doc_id"], *trained).where("is_secret").collect()
+    assert {(r.doc_id, r.candidate) for r in found} == {
+        (i, secret) for i, (_, _, secret) in enumerate(PLANTED) if secret
+    }
+
+
+def test_several_in_one_word_and_repeated_rows(spark, trained):
+    text = f'{{"password":"9f31c0de77ab4412ee","key":"{KEY}"}}'
+    rows = [(1, text, None, None, 1, 1, "x")] * 2
+    found = secret_scan.scan(frame(spark, rows), ["doc_id"], *trained).collect()
+    assert len(found) == 4 and {r.candidate for r in found} == {"9f31c0de77ab4412ee", KEY}
+
+
+def test_texts_are_masked_and_else_left_alone(spark, sf_dir):
+    rows = documents() + [(90, f"{prose(9, 200)} {KEY} end", "aa", "s", 5, 1, "x")] * 2
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    findings = secret_scan.labelled_findings(docs)
+    found = secret_scan.redact(frame(spark, rows), findings)
+    assert found.columns == [c.split()[0] for c in SCHEMA.split(", ")]
+    masked = [r for r in found.collect() if "[SECRET]" in (r.text or "")]
+    assert len(masked) == 2 and all(KEY not in r.text and r.n_chars == len(r.text) for r in masked)
+    rest = sorted((tuple(r) for r in found.collect() if r.doc_id != 90), key=repr)
+    assert rest == sorted(documents(), key=repr)
+    assert secret_scan.redact(frame(spark, []), findings).collect() == []
