@@ -1,7 +1,8 @@
 """Row numbers and previous values over groups of any size.
 
 A window puts each group into one task. That is right while the whole input is small, and it is
-used then. Above the limit the rows are range-partitioned on group and order, sorted inside each
+used then. A frame is counted by one scan, a stored table brings its counts along. Above the limits
+of rows or bytes the rows are range-partitioned on group and order, sorted inside each
 partition and written with their position; a partition holds a slice of one group or a few whole
 groups. One small row per slice carries what the next slice needs from the ones before it.
 """
@@ -14,9 +15,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from skyledger.operators.lookups import lookup_join
-from skyledger.operators.shared import Settled, settle
+from skyledger.operators.shared import Settled, measure, settle
 
 WINDOW_ROWS = 5_000_000
+WINDOW_BYTES = 1 << 30
 SLICE, PLACE = "_slice", "_place"
 
 
@@ -28,11 +30,11 @@ def with_row_number(
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Number the rows of each group from 1. The order must be total for a stable result."""
-    rows = df if isinstance(df, Settled) else settle(df, "to_number")
-    if rows.rows <= window_rows:
-        return rows.frame.withColumn(name, F.row_number().over(_window(group, order)).cast("bigint"))
+    rows = df.frame if isinstance(df, Settled) else df
+    if _is_small(df, window_rows):
+        return rows.withColumn(name, F.row_number().over(_window(group, order)).cast("bigint"))
 
-    sliced = _slices(rows.frame, group, order)
+    sliced = _slices(rows, group, order)
     starts = sliced.groupBy(SLICE, *group).agg(
         F.min(PLACE).alias("_first"), F.count(F.lit(1)).alias("_rows")
     )
@@ -45,7 +47,7 @@ def with_row_number(
     return (
         lookup_join(sliced, starts, [SLICE, *group], "inner", null_safe=True)
         .withColumn(name, F.col(PLACE) + F.col("_shift"))
-        .select(*rows.frame.columns, name)
+        .select(*rows.columns, name)
     )
 
 
@@ -58,11 +60,11 @@ def with_previous(
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Value of the row before, within the group; null on the first row of a group."""
-    rows = df if isinstance(df, Settled) else settle(df, "to_lag")
-    if rows.rows <= window_rows:
-        return rows.frame.withColumn(name, F.lag(value).over(_window(group, order)))
+    rows = df.frame if isinstance(df, Settled) else df
+    if _is_small(df, window_rows):
+        return rows.withColumn(name, F.lag(value).over(_window(group, order)))
 
-    sliced = _slices(rows.frame, group, order)
+    sliced = _slices(rows, group, order)
     edges = sliced.groupBy(SLICE, *group).agg(
         F.min(PLACE).alias("_first"), F.max_by(value, PLACE).alias("_last")
     )
@@ -77,10 +79,15 @@ def with_previous(
     return (
         lookup_join(inside, edges, [SLICE, *group], "inner", null_safe=True)
         .withColumn(name, carried)
-        .select(*rows.frame.columns, name)
+        .select(*rows.columns, name)
     )
 
 
+def _is_small(df: DataFrame | Settled, window_rows: int) -> bool:
+    rows, size = (df.rows, df.size) if isinstance(df, Settled) else measure(df)
+    return rows <= window_rows and size <= WINDOW_BYTES
+
+
 def _window(group: Sequence[str], order: Sequence[Column]) -> WindowSpec:
     return Window.partitionBy(*group).orderBy(*order) if group else Window.orderBy(*order)
 

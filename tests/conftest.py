@@ -1,5 +1,6 @@
 import pytest
 
+from skyledger.operators.shared import drop_scratch
 from skyledger.session import local_session
 from tests.compare import engine
 
@@ -10,6 +11,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = local_session("tests")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

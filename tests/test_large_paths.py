@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.dimensions import distinct_dimension, extend_dimension
 from skyledger.operators.lookups import lookup_join
+from skyledger.operators.shared import settle
 from skyledger.operators.ordered import with_previous, with_row_number
 from tests.conftest import rows
 
@@ -51,14 +52,32 @@ def test_a_lookup_with_few_but_wide_rows_is_not_broadcast(spark, skewed, monkeyp
     assert (known.rows, known.size) == (1, 5003)
     monkeypatch.setattr(lookups, "BROADCAST_BYTES", 4096)
     split = lookup_join(skewed, known, ["key"], hot_rows=100)
-    assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in split._jdf.queryExecution().optimizedPlan().toString()
     assert split.where("value is not null").count() == 1000
 
 
-def test_hot_keys_do_not_reach_the_shuffled_join(skewed, lookup):
-    split = lookup_join(skewed, lookup, ["key"], broadcast_rows=0, hot_rows=100)
-    plan = split._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in plan and "LeftAnti" in plan and "LeftSemi" in plan
+def test_nested_columns_count_with_their_bytes(spark):
+    from skyledger.operators import lookups
+
+    nested = spark.createDataFrame([("k", ["x" * 3000])], "key string, value array<string>")
+    assert lookups.as_settled(nested).size > 3000
+
+
+def test_other_joins_are_refused(skewed, lookup):
+    with pytest.raises(ValueError, match="how"):
+        lookup_join(skewed, lookup, ["key"], "full_outer")
+
+
+def test_hot_keys_are_salted_and_the_large_side_is_read_once(skewed, lookup):
+    large = settle(skewed, "large").frame
+    split = lookup_join(large, lookup, ["key"], broadcast_rows=0, hot_rows=100)
+    twice = lookup_join(split, lookup.withColumnRenamed("value", "v2"), ["key"], broadcast_rows=0, hot_rows=100)
+    for joined in (split, twice):
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert "_salt" in plan and "Union" not in plan
+        assert plan.count("amount") and plan.count("Relation [id#") == 1
+    # No task of the join holds the hot key: its rows are spread over as many salts as it needs.
+    assert split.where("key = 'hot'").count() == 1000
 
 
 def order():
