@@ -114,4 +114,97 @@ QUERIES: dict[str, Query] = {
     "op10_host_rules": op10_host_rules,
 }
 
-ORACLES: dict[str, str] = {}
+# Where SQL can express the whole answer. Tokenizers, trained models and the engine's own hash
+# functions have no SQL form; those queries are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op3_chosen_path_join": r"""
+        WITH RECURSIVE
+        split AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+          FROM documents),
+        shingles AS (
+          SELECT DISTINCT doc_id, s FROM (
+            SELECT doc_id, unnest(CASE WHEN len(w) >= 5
+              THEN list_transform(range(1, len(w) - 3), lambda i: list_slice(w, i, i + 4))
+              WHEN len(w) > 0 THEN [w] ELSE [] END) AS s FROM split)),
+        sizes AS (SELECT doc_id, COUNT(*) AS n FROM shingles GROUP BY doc_id),
+        pairs AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, COUNT(*) AS common
+          FROM shingles a JOIN shingles b ON a.s = b.s GROUP BY 1, 2),
+        alike AS (
+          SELECT a, b, common = x.n AND common = y.n AS same
+          FROM pairs JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+          WHERE common >= 0.8 * (x.n + y.n - common) - 1e-9),
+        reached AS (
+          SELECT a, b FROM alike
+          UNION
+          SELECT r.a, s.b FROM reached r JOIN alike s ON r.b = s.a)
+        SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id,
+          coalesce(l.copies, 1) AS copies, coalesce(l.links, 0) AS links
+        FROM documents d
+        LEFT JOIN (SELECT a, MIN(b) AS class_id FROM reached GROUP BY a) c ON d.doc_id = c.a
+        LEFT JOIN (SELECT a, COUNT(*) - 1 AS links, COUNT(*) FILTER (WHERE same) AS copies
+                   FROM alike GROUP BY a) l ON d.doc_id = l.a""",
+    "op7_warc_reader": """
+        WITH payloads AS (
+          SELECT page_id, coalesce(html, '') AS payload,
+            MIN(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+          FROM pages),
+        bits AS (
+          SELECT *, list_aggregate(list_transform(string_split(sha1(payload), ''),
+            lambda x: lpad(bin(strpos('0123456789abcdef', x) - 1), 4, '0')), 'string_agg', '') AS b
+          FROM payloads)
+        SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+          list_aggregate(list_transform(range(32), lambda i:
+            substring('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1
+              + 16 * CAST(substring(b, 5 * i + 1, 1) AS INT) + 8 * CAST(substring(b, 5 * i + 2, 1) AS INT)
+              + 4 * CAST(substring(b, 5 * i + 3, 1) AS INT) + 2 * CAST(substring(b, 5 * i + 4, 1) AS INT)
+              + CAST(substring(b, 5 * i + 5, 1) AS INT) AS BIGINT), 1)), 'string_agg', '')
+            AS payload_digest,
+          CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM bits""",
+    "op10_host_rules": r"""
+        WITH split AS (
+          SELECT doc_id, source, coalesce(text, '') AS t,
+            regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+            list_filter(string_split(coalesce(text, ''), chr(10)),
+              lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+          FROM documents),
+        runs AS (
+          SELECT doc_id, i, list_slice(w, i, i + 4) AS run
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM split)),
+        repeated AS (
+          SELECT doc_id, COUNT(DISTINCT place) AS n FROM (
+            SELECT doc_id, unnest(range(i, i + 5)) AS place
+            FROM (SELECT doc_id, i, COUNT(*) OVER (PARTITION BY doc_id, run) AS n FROM runs)
+            WHERE n > 1)
+          GROUP BY doc_id),
+        measured AS (
+          SELECT s.doc_id, s.source, CAST(len(w) AS BIGINT) AS n_words,
+            CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+            CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+            CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+          FROM split s LEFT JOIN repeated r ON s.doc_id = r.doc_id),
+        rules AS (
+          SELECT doc_id, source, unnest([n_words < 10, 100 * n_repeat_words > 20 * n_words,
+              10 * n_symbols > n_words, 5 * n_dup_lines > n_words]) AS failed,
+            unnest([1, 2, 3, 4]) AS rule
+          FROM measured),
+        hosts AS (
+          SELECT source, rule, COUNT(*) AS n, COUNT(*) FILTER (WHERE failed) AS k
+          FROM rules WHERE source IS NOT NULL GROUP BY source, rule),
+        priors AS (
+          SELECT rule, m, CASE WHEN v > 0 THEN least(greatest(m * (1 - m) / v - 1, 1), 1e6)
+              ELSE 1e6 END AS strength
+          FROM (SELECT rule, AVG(k / n) AS m, VAR_POP(k / n) AS v FROM hosts GROUP BY rule)),
+        bad AS (
+          SELECT DISTINCT source FROM hosts JOIN priors USING (rule)
+          WHERE (k + m * strength) / (n + strength) > 0.5)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+          n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+          NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+            AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept
+        FROM measured""",
+}
