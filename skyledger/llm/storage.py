@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -40,6 +41,11 @@ def importable(spark: SparkSession) -> None:
         )
 
 
+def release_memory() -> None:
+    """Give freed buffers back to the machine; a worker lives on through all tasks of a stage."""
+    pa.default_memory_pool().release_unused()
+
+
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and plain path of a URI or an absolute path."""
     if uri.startswith("file:/") and not uri.startswith("file://"):

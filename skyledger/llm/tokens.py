@@ -16,9 +16,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from skyledger.llm.storage import release_memory
+
 ID = np.dtype("<u4")
 REMEMBERED = 400_000  # distinct words kept per Python worker
-SLICE_BYTES = 12 << 20  # texts encoded together
+SLICE_BYTES = 4 << 20  # texts encoded together
 _SPACE = r"[^\S\x1c-\x1f]"  # white space as Unicode has it; Python also counts \x1c to \x1f
 _SOLID = r"[\S\x1c-\x1f]"
 _MARK = r"[!-/:-@\[-`{-~]"  # ASCII punctuation, which no normal form joins to a letter
@@ -29,6 +31,8 @@ _PARTS = re.compile(
     rf" ?{_MARK}*+{_WORD}++{_CUT_AFTER}| ?{_MARK}++(?={_SPACE}|\Z)|[\t\n\r](?={_SOLID})|.+",
     re.DOTALL,
 )
+#: The commonest case of it: one word and a mark behind it.
+_WORD_MARK = re.compile(rf"({_WORD}+)([,.;:!?])")
 _RUNS = re.compile(rf"{_SPACE}*{_SOLID}+|{_SPACE}+")
 
 
@@ -92,20 +96,31 @@ class Encoder:
         """Ids of each distinct piece after one space; None where a cut beside it is not sound."""
         known = self.spaced.get
         found = list(map(known, pieces))
-        new = [(i, pieces[i]) for i, ids in enumerate(found) if ids is None]
-        words = {p for _, p in new if p.isalpha()}
-        marked = {}
-        for _, piece in new:
-            if piece and piece not in words and not (piece[0].isspace() or piece[-1].isspace()):
-                marked[piece] = parts = _PARTS.findall(" " + piece)
+        new = [i for i, ids in enumerate(found) if ids is None]
+        words, marked, parted = set(), [], []
+        for i in new:
+            piece = pieces[i]
+            if piece.isalpha():
+                words.add(piece)
+            elif match := _WORD_MARK.fullmatch(piece):
+                head, mark = match.groups()
+                marked.append((piece, head, mark))
+                if known(head) is None and head.isalpha():
+                    words.add(head)
+            elif piece and not (piece[0].isspace() or piece[-1].isspace()):
+                parts = _PARTS.findall(" " + piece)
+                parted.append((piece, parts))
                 head = parts[0][1:]
                 if head.isalpha() and known(head) is None:
                     words.add(head)
         fresh = self._words(list(words))
-        for piece, parts in marked.items():
+        for piece, head, mark in marked:
+            first = fresh.get(head) or self._part(" " + head, fresh)
+            fresh[piece] = first + self._part(mark, fresh)
+        for piece, parts in parted:
             fresh[piece] = b"".join([self._part(part, fresh) for part in parts])
-        for i, piece in new:
-            found[i] = fresh.get(piece)
+        for i in new:
+            found[i] = fresh.get(pieces[i])
         room = REMEMBERED - len(self.spaced)
         self.spaced.update(islice(fresh.items(), max(0, room)))
         return found
@@ -142,7 +157,9 @@ class Encoder:
         starts = np.cumsum(sizes) - sizes
         taken = sizes[at]
         ends = np.cumsum(taken)
-        places = np.repeat(starts[at] - ends + taken, taken) + np.arange(int(ends[-1]))
+        # A slice has far fewer ids than 32 bits can number.
+        places = np.repeat((starts[at] - ends + taken).astype(np.int32), taken)
+        places += np.arange(len(places), dtype=np.int32)
         counts = np.add.reduceat(taken, first)
         return np.frombuffer(b"".join(entries), ID)[places], counts
 
@@ -156,6 +173,7 @@ class Encoder:
             end = max(at + 1, int(np.searchsorted(sizes, done + SLICE_BYTES, side="right")))
             yield (at, *self.encode(texts[at:end]))
             at = end
+        release_memory()
 
 
 _ENCODERS: dict[str, Encoder] = {}
