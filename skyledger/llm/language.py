@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from skyledger.llm.storage import stored, with_columns_of
+from skyledger.llm.storage import release_memory, stored, with_columns_of
 
 SAMPLE_ROWS = 20_000  # labelled rows per language
 MAX_WORDS = 60_000
 MAX_GRAMS = 60_000
 LONGEST_GRAM = 4
-REMEMBERED = 400_000  # scored words kept per Python worker
+REMEMBERED = 150_000  # scored words kept per Python worker
 UNKNOWN = "und"
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -158,7 +158,7 @@ class Scorer:
         if not self.languages or not any(c.isalpha() for word in words for c in word):
             return UNKNOWN, 0.0
         if len(self.rows) > REMEMBERED:
-            self.rows = {}
+            self.rows.clear()
         sums = np.zeros(len(self.languages))
         for at in range(0, len(words), 100_000):
             rows = [self._row(word) for word in words[at : at + 100_000]]  # the table may grow
@@ -177,11 +177,12 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            found = [scorer.score(text) for text in batch.column("text").to_pylist()]
+            found = [scorer.score(text.as_py()) for text in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([x[0] for x in found], pa.string()),
                  pa.array([x[1] for x in found], pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"],
             )
+            release_memory()
 
     return documents.mapInArrow(run, with_columns_of(documents, added))

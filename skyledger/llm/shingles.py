@@ -9,9 +9,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+from skyledger.llm.storage import release_memory
+
 WIDTH = 5
 POSITIONS = 64
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 _U = np.uint64
 
 
@@ -76,6 +78,7 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
                 yield np.empty(0, _U)
             first += count
         at = end
+    release_memory()
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
