@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 
 from skyledger.llm import chosen_path, language, mixing, packing, secret_scan
 from skyledger.llm.queries import language_model
-from skyledger.llm.storage import importable, stored
+from skyledger.llm.storage import ready, stored
 
 LEAST_SCORE = 0.5  # a text whose language is no likelier than this is rejected
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without a letter, or without a likely one, go."""
-    importable(spark)
+    ready(spark)
     found = language.predict(docs.select(F.struct("*").alias("row"), "text"), language_model(docs))
     sure = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
     return found.where(sure).select("row.*")
@@ -27,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group with shingle similarity of 0.8 or more."""
-    importable(spark)
+    ready(spark)
     return chosen_path.first_of_groups(docs)
 
 
@@ -43,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 4096 ids: one row per piece of a document."""
-    importable(spark)
+    ready(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import chosen_path, host_rules, language, mixing, order_minhash, packing, quotations, secret_scan, warc, wavelet
-from skyledger.llm.storage import importable, stored
+from skyledger.llm.storage import ready, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,7 @@ def over(table: str) -> Callable[[Callable[[DataFrame], DataFrame]], Query]:
     def make(function: Callable[[DataFrame], DataFrame]) -> Query:
         @wraps(function)
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            importable(spark)
+            ready(spark)
             return function(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
 
         return query

@@ -32,13 +32,23 @@ def with_columns_of(df: DataFrame, schema: StructType) -> StructType:
     return StructType([*df.schema.fields, *schema.fields])
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package; a cluster gets it by --py-files."""
+BATCH_ROWS = 1000
+BATCH_BYTES = 16 << 20
+
+
+def ready(spark: SparkSession) -> None:
+    """What Python stages need of a session.
+
+    Workers on this machine can import the package (a cluster gets it by --py-files), and batches
+    of texts are small: both the JVM and the worker hold a batch or two beside their own memory.
+    """
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if PACKAGE_ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(
             [PACKAGE_ROOT, *filter(None, paths)]
         )
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def release_memory() -> None:

@@ -1,8 +1,8 @@
 import pytest
 
-from skyledger.llm.storage import importable
+from skyledger.llm.storage import ready
 
 
 @pytest.fixture(autouse=True)
 def workers(spark):
-    importable(spark)
+    ready(spark)
