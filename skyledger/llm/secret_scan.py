@@ -9,7 +9,7 @@ path it was found under and the words beside it. It is trained on labelled findi
 The dictionary are the most frequent words of all documents. Where no labelled findings are given,
 `labelled_findings` makes some from the documents' own words: keys, tokens and passwords in the
 forms in which they are handed out (positive), and checksums, identifiers, paths, numbers, dates and
-UUIDs (negative). Training takes at most MAX_LABELLED findings.
+UUIDs (negative). Training takes at most MAX_LABELLED of these, of distinct texts.
 
 Defined results: null and empty texts have no candidates; each occurrence is
 a finding of its own, also several in one word, and a run within a longer assigned value beside that
@@ -31,6 +31,12 @@ from skyledger.operators.shared import scratch_path
 
 MAX_LABELLED = 20_000
 DICTIONARY_WORDS = 20_000
+FORMS = 29  # findings made of one text
+FILLERS = 200  # texts of these words are added at most, where the documents have too few
+FILLER_WORDS = (
+    "river stone window garden market winter paper bridge yellow mountain letter kitchen morning number street forest "
+    "summer table silver engine island travel music doctor planet simple bottle corner circle market harbor pocket"
+)
 TREES, DEPTH, SEED = 24, 7, 6
 SECRET_FROM = 0.5
 CONTEXT = 40  # characters of its own word that count as standing before a candidate
@@ -190,17 +196,22 @@ def features(rows: DataFrame) -> DataFrame:
 
 
 def labelled_findings(documents: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
-    """`text`, `label`: one-line texts with a finding, made of words of at most `most` documents.
+    """`text`, `label`: at most `most` one-line texts with a finding, made of the documents' words.
 
-    Which documents is decided by a hash of the text. Digests of the words stand for chance.
+    Each distinct text counts once, and those of the smallest hashes are taken. Where fewer
+    texts have four words of Latin letters, up to FILLERS of FILLER_WORDS are added, so there are
+    findings for any table, an empty one too. Digests of the words stand for chance.
     """
-    n = max(1, documents.count())
-    kinds = 29
-    share = min(1.0, most / kinds / n)
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    some = documents.where(F.col("text").isNotNull() & (place < share))
-    w = F.filter(words(F.col("text")), lambda x: x.rlike("^[A-Za-z]{2,}$"))
-    some = some.select(F.slice(w, 1, 8).alias("w"), F.xxhash64("text").alias("h")).where(F.size("w") >= 4)
+    latin = F.filter(words(F.col("text")), lambda x: x.rlike("^[A-Za-z]{2,24}$"))
+    some = documents.where(F.col("text").isNotNull()).select(F.slice(latin, 1, 8).alias("w"), F.xxhash64("text").alias("h"))
+    some = some.where(F.size("w") >= 4).distinct().withColumn("filler", F.lit(False))
+    known = F.array(*[F.lit(x) for x in FILLER_WORDS.split()])
+    fillers = documents.sparkSession.range(0, FILLERS, 1, 1).select(
+        F.transform(F.sequence(F.lit(1), F.lit(8)), lambda i: F.get(known, F.pmod(F.xxhash64("id", i), F.size(known)).cast("int"))).alias("w"),
+        F.xxhash64("id").alias("h"), F.lit(True).alias("filler"),
+    )
+    # The documents' own texts first; few rows of a few words are left.
+    some = some.unionByName(fillers).orderBy("filler", "h").limit(max(1, most // FORMS))
     a, b, c, d = (F.lower(F.get("w", i)) for i in range(4))
     chance = F.sha2(F.concat_ws(" ", F.col("h").cast("string"), "w"), 512)
     mixed = F.base64(F.unhex(chance))
@@ -249,7 +260,7 @@ def labelled_findings(documents: DataFrame, most: int = MAX_LABELLED) -> DataFra
         (0.0, line("id ", hex_of(8), "-", F.substring(chance, 12, 4), "-", F.substring(chance, 17, 12))),
         (0.0, line("20", F.substring(number, 1, 2), "-", F.substring(number, 3, 2), "-", F.substring(number, 5, 2), "T", F.substring(number, 7, 6))),
     ]
-    assert len(forms) == kinds
+    assert len(forms) == FORMS
     made = F.array(*[F.struct(text.alias("text"), F.lit(label).alias("label")) for label, text in forms])
     return some.select(F.explode(made).alias("f")).select("f.text", "f.label")
 

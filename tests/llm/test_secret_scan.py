@@ -79,3 +79,19 @@ def test_masked_values_leave_longer_words(spark, sf_dir):
     rows = [(1, "pass=Tr0ub4dor&3 and password='monkey' for monkeys, pwd=monkey.", None, None, 1, 1, "x")]
     found = secret_scan.redact(frame(spark, rows), secret_scan.labelled_findings(docs)).first().text
     assert found == "pass=[SECRET] and password='[SECRET]' for monkeys, pwd=[SECRET]."
+
+
+@pytest.mark.parametrize("texts", [[], [None, ""], ["пароль и слово", "только кириллица здесь"], ["one two three four five"] * 300])
+def test_training_without_given_findings_on_any_table(spark, texts):
+    secret = f"слово {KEY} и password=9f31c0de77ab4412ee"
+    rows = [(i, text, None, None, 1, 1, "x") for i, text in enumerate(texts)]
+    assert secret_scan.scan_documents(frame(spark, rows), ["doc_id"]).collect() == []
+    masked = secret_scan.redact(frame(spark, rows + [(999, secret, None, None, 1, 1, "x")] * bool(texts))).collect()
+    assert len(masked) == len(rows) + bool(texts)
+    assert {r.text for r in masked if r.doc_id == 999} <= {"слово [SECRET] и password=[SECRET]"}
+
+
+def test_findings_of_copies_are_bounded(spark):
+    rows = [(i, f"river stone window garden {'abcdefgh'[i % 8]}x", None, None, 1, 1, "x") for i in range(400)]
+    made = secret_scan.labelled_findings(frame(spark, rows), most=4 * secret_scan.FORMS)
+    assert made.count() == 4 * secret_scan.FORMS
