@@ -1,11 +1,12 @@
 """Conversations in reply order, with replies found by what they quote.
 
 Lines that begin with `>` are quoted, and the number of marks is the level. Neighbouring lines of
-one level are a passage. Passages, and their single lines, are normalised and hashed, and so are
+one level are a passage. Passages, their paragraphs (parted by blank quoted lines) and single lines are
+normalised and hashed, and so are
 the bodies, paragraphs and lines that messages wrote themselves. A quoted passage is linked to the
 message of its conversation that wrote it first, if that came before. A message replies to the
-message linked by its outermost quotes: by whole passages before single lines, to the latest of
-several. A thread is a message with all replies to it and to those.
+message linked by its outermost quotes: by whole passages before paragraphs before single lines, to
+the latest of several. A thread is a message with all replies to it and to those.
 
 Reply order is conversation, thread, turn: every message comes after the one it answers, and
 threads stay together. Each message keeps its row, so a conversation of any size is spread over
@@ -26,7 +27,7 @@ from skyledger.llm.storage import stored
 MARKS = r"^(?:[ \t]*>)+"
 SAID = r"(?i)^(on|am|le|el)\b.*(wrote|schrieb.*|écrit|escribió) ?:$"  # a line that announces a quote
 ADDED = ("body", "reply_to", "thread", "n_quotes", "n_linked", "formatted")
-WHOLE, LINE = 1, 0
+WHOLE, PARAGRAPH, LINE = 2, 1, 0
 
 
 def normal(text: Column) -> Column:
@@ -68,8 +69,12 @@ def _quotes(rows: DataFrame) -> DataFrame:
     passages = F.filter(F.transform("_starts", passage), lambda p: p["level"] > 0)
     rows = rows.select("conv_id", "turn", "_id", F.explode(passages).alias("_p"))
     rows = rows.select("conv_id", "turn", "_id", "_p.level", "_p.lines", F.monotonically_increasing_id().alias("_passage"))
+    # A passage without a blank line is one paragraph, which is the passage itself.
+    paragraphs = F.split(F.array_join("lines", "\n"), r"\n[\s>]*\n")
+    paragraphs = F.when(F.size(paragraphs) > 1, paragraphs).otherwise(F.array().cast("array<string>"))
     forms = F.concat(
         F.array(F.struct(F.lit(WHOLE).alias("kind"), F.array_join("lines", " ").alias("t"))),
+        F.transform(paragraphs, lambda x: F.struct(F.lit(PARAGRAPH).alias("kind"), x.alias("t"))),
         F.transform("lines", lambda x: F.struct(F.lit(LINE).alias("kind"), x.alias("t"))),
     )
     rows = rows.select("conv_id", "turn", "_id", "level", "_passage", F.explode(forms).alias("_f"))

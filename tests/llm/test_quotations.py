@@ -54,3 +54,13 @@ def test_empty_and_very_long(spark):
     rows = [(1, 0, "user", "quoted 1", None), (1, 1, "user", lines, None)]
     found = {r.turn: r for r in quotations.link_quotations(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert found[1].n_quotes == 2000 and found[1].reply_to == 0
+
+
+def test_paragraphs_of_a_passage_with_new_line_breaks(spark):
+    rows = [
+        (1, 0, "user", "First part\nof the plan.\n\nSecond part\nof the plan.\n\nThird part\nof it.", None),
+        (1, 1, "user", "Other talk.", None),
+        (1, 2, "user", "> First part of\n> the plan.\n>\n> Second part of\n> the plan.\nAgreed.", None),
+    ]
+    found = {r.turn: r for r in quotations.link_quotations(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found[2].reply_to == 0 and found[2].thread == 0 and found[2].n_quotes == found[2].n_linked == 1
