@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chosen_path, host_rules, language, mixing, order_minhash, packing, quotations, secret_scan, warc, wavelet
+from skyledger.llm import chosen_path, collocations, host_rules, language, mixing, order_minhash, packing, quotations, secret_scan, warc, wavelet
 from skyledger.llm.storage import ready, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,11 @@ def op10_host_rules(documents: DataFrame) -> DataFrame:
     return judged.drop("source", "host_rejected")
 
 
+@over("documents")
+def op11_phrase_collocations(documents: DataFrame) -> DataFrame:
+    return collocations.collocations(documents)
+
+
 @over("pages")
 def op7_warc_reader(pages: DataFrame) -> DataFrame:
     return warc.read_archives(warc.write_archives(pages)).select(
@@ -112,6 +117,7 @@ QUERIES: dict[str, Query] = {
     "op8_quotation_linking": op8_quotation_linking,
     "op9_order_minhash": op9_order_minhash,
     "op10_host_rules": op10_host_rules,
+    "op11_phrase_collocations": op11_phrase_collocations,
 }
 
 # Where SQL can express the whole answer. Tokenizers, trained models and the engine's own hash
@@ -207,4 +213,42 @@ ORACLES: dict[str, str] = {
           NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
             AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept
         FROM measured""",
+    "op11_phrase_collocations": r"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+          FROM documents),
+        split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        runs AS (
+          SELECT lang, unnest(flatten(list_transform([1, 2, 3, 4, 5], lambda m:
+            list_transform(range(1, len(w) - m + 2), lambda i: list_slice(w, i, i + m - 1))))) AS p
+          FROM split WHERE len(w) > 0),
+        f AS (SELECT lang, p, COUNT(*) AS f FROM runs GROUP BY lang, p),
+        totals AS (SELECT lang, SUM(f) AS n FROM f WHERE len(p) = 1 GROUP BY lang),
+        candidates AS (SELECT lang, p, f AS a FROM f WHERE len(p) >= 2 AND f >= 100),
+        cuts AS (
+          SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM candidates),
+        scored AS (
+          SELECT c.lang, c.p, c.a, c.k, x.f AS l, y.f AS r, t.n,
+            CAST((1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+          FROM cuts c JOIN totals t ON c.lang = t.lang
+          JOIN f x ON x.lang = c.lang AND x.p = list_slice(c.p, 1, c.k)
+          JOIN f y ON y.lang = c.lang AND y.p = list_slice(c.p, c.k + 1, len(c.p))),
+        worst AS (
+          SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+        inside AS (
+          SELECT lang, a, unnest(flatten(list_transform(range(2, len(p)), lambda m:
+            list_transform(range(1, len(p) - m + 2), lambda i: list_slice(p, i, i + m - 1))))) AS p
+          FROM candidates WHERE len(p) >= 3),
+        longer AS (SELECT lang, p, MAX(a) AS a FROM inside GROUP BY lang, p),
+        ranked AS (
+          SELECT w.lang, array_to_string(w.p, ' ') AS phrase, w.a, l, r, n, score
+          FROM worst w LEFT JOIN longer o ON w.lang = o.lang AND w.p = o.p
+          WHERE o.a IS NULL OR 100 * o.a < 100 * w.a)
+        SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+          CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+              FROM ranked)
+        WHERE rank <= 2000""",
 }
