@@ -56,7 +56,7 @@ def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id string, city string, amount string, status string, order_date string, courier string, "
         "is_valid boolean"
     )
-    return spark.read.schema(schema).json(out)
+    return spark.read.schema(schema).json(out).drop("rows")
 
 
 def typed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +78,7 @@ def process_order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id string, city string, amount double, status string, raw_amount string, reason string, "
         "other_keys map<string, string>, is_valid boolean"
     )
-    judged = spark.read.schema(schema).json(out)
+    judged = spark.read.schema(schema).json(out).drop("rows")
     others = [F.col("other_keys")[k].alias(k) for k in ("order_date", "courier")]
     return judged.select(*[c for c in judged.columns if c != "other_keys"], *others)
 

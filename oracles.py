@@ -1,6 +1,7 @@
 """Plain SQL for every registered query, for an independent engine to run on the same tables.
 
-Money and temperatures are added as decimals, so that the result does not depend on row order.
+Doubles are added exactly, as whole numbers of 2**-60, of which all amounts and temperatures of the
+tables are multiples; the total is rounded once, on its way through text.
 """
 
 from __future__ import annotations
@@ -8,8 +9,12 @@ from __future__ import annotations
 from skyledger.sources import messy
 
 
-def total(x: str) -> str:
-    return f"CAST(SUM(CAST({x} AS DECIMAL(18, 2))) AS DOUBLE)"
+UNITS = 1 << 60
+
+
+def total(x: str, over: str = "") -> str:
+    units = f"SUM(CAST({x} * {UNITS}::DOUBLE AS HUGEINT)) {over}"
+    return f"(CAST(CAST({units} AS VARCHAR) AS DOUBLE) / {UNITS}::DOUBLE)"
 
 
 def mean(x: str) -> str:
@@ -246,9 +251,9 @@ def _profile(column: str) -> str:
         FROM (SELECT CAST({column} AS VARCHAR) AS value, COUNT(*) AS n FROM deliveries_raw GROUP BY {column})"""
 
 
-RUNNING = query(TYPED, """
-    SELECT id, city, order_date, amount, CAST(SUM(CAST(amount AS DECIMAL(18, 2))) OVER
-      (PARTITION BY city ORDER BY order_date NULLS LAST) AS DOUBLE) AS running_total
+RUNNING = query(TYPED, f"""
+    SELECT id, city, order_date, amount,
+      {total("amount", "OVER (PARTITION BY city ORDER BY order_date NULLS LAST)")} AS running_total
     FROM deliveries""")
 RANKED = query(TYPED, """
     SELECT id, city, amount, ROW_NUMBER() OVER

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from skyledger.functions.dates import days_of
 from skyledger.functions.numbers import round_sql
-from skyledger.functions.sums import exact_avg, exact_sum
+from skyledger.functions.sums import exact_avg, exact_sum, merge_states, state_sum, sum_state
 from skyledger.operators.lookups import lookup_join
 from skyledger.operators.ordered import WINDOW_ROWS, with_previous, with_row_number
 from skyledger.operators.shared import settle
@@ -34,15 +34,15 @@ def running_total(deliveries: DataFrame, **limits: int) -> DataFrame:
 
     The value depends on city and day alone, so the window runs over one row per city and day.
     """
-    days = deliveries.groupBy("city", "order_date").agg(exact_sum("amount").alias("day_total"))
+    # Partial sums, so that the running total is rounded once and not day by day.
+    days = deliveries.groupBy("city", "order_date").agg(sum_state("amount").alias("day_total"))
     so_far = (
         Window.partitionBy("city")
         .orderBy(F.asc_nulls_last("order_date"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    totals = days.select(
-        "city", "order_date", exact_sum("day_total", so_far).alias("running_total")
-    )
+    totals = days.select("city", "order_date", merge_states("day_total", so_far).alias("so_far"))
+    totals = totals.select("city", "order_date", state_sum("so_far").alias("running_total"))
     rows = deliveries.select("id", "city", "order_date", "amount")
     return lookup_join(rows, totals, ["city", "order_date"], "inner", null_safe=True, **limits)
 

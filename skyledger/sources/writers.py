@@ -38,14 +38,18 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_split(df: DataFrame, flag: str, path: str) -> dict[str, int]:
-    """Valid and failed rows into sub-folders in one write; returns the row counts."""
+    """Valid and failed rows into sub-folders in one write; returns the row counts.
+
+    The folders are named by `rows`; the flag stays a column of the files, so it is read as it was.
+    """
     written = Observation()
     counted = df.observe(
         written,
         F.coalesce(F.count_if(flag), F.lit(0)).alias("valid"),
         F.coalesce(F.count_if(~F.col(flag)), F.lit(0)).alias("failed"),
     )
-    counted.write.mode("overwrite").partitionBy(flag).json(path, ignoreNullFields=False)
+    named = counted.withColumn("rows", F.when(F.col(flag), "valid").otherwise("failed"))
+    named.write.mode("overwrite").partitionBy("rows").json(path, ignoreNullFields=False)
     valid, failed = written.get["valid"], written.get["failed"]
     return {"total": valid + failed, "valid": valid, "failed": failed}
 

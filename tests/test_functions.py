@@ -1,6 +1,8 @@
 import math
+import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyledger.functions.bands import above, above_or_false, order_tier, revenue_tier
@@ -14,7 +16,7 @@ from skyledger.functions.numbers import (
     to_double,
     to_whole,
 )
-from skyledger.functions.sums import exact_avg, exact_sum
+from skyledger.functions.sums import EVERY, exact_avg, exact_sum, merge_states, state_sum, sum_state
 from skyledger.functions.text import blank_to_null, slug, sql_tidy, sql_trim, strip
 from skyledger.operators.cleaning import normalize_list
 
@@ -129,3 +131,57 @@ def test_exact_sum_falls_back_off_the_grid(spark):
     assert math.isnan(total(spark, [math.nan, 1.0])[0])
     assert total(spark, [math.inf, 1.0])[0] == math.inf
     assert total(spark, [9e11] * 2000)[0] == 1.8e15
+
+
+def mixed_doubles(seed):
+    """Values of all sizes, many of which cancel each other."""
+    rnd = random.Random(seed)
+    sets = [
+        [1e300, -1e300, 1e-300], [5e-324] * 3, [-(2.0**63), 2.0**63, 0.5], [1.7e308, 1.7e308, -1.7e308],
+        [1e16, 1.0, -1e16, 1e-5], [0.0], [-0.1, 0.1], [2.0**62] * 9, [1e-12, 1e300, -1e300, 1e-12],
+    ]
+    for low, high in ((-12, 300), (-12, 18), (-323, -300), (-323, 300), (-9, 9)):
+        for _ in range(12):
+            sets.append([rnd.choice([-1, 1]) * rnd.random() * 10.0 ** rnd.randint(low, high) for _ in range(30)])
+    for _ in range(12):
+        values = [rnd.random() * 2.0 ** rnd.randint(-1074, 1000) for _ in range(8)]
+        sets.append([*values, *(-v for v in values), rnd.random()])
+    rows = [(i, v) for i, values in enumerate(sets) for v in values]
+    rnd.shuffle(rows)
+    return {i: math.fsum(values) if i != 3 else 1.7e308 for i, values in enumerate(sets)}, rows
+
+
+def test_exact_sum_of_every_double_equals_fsum(spark):
+    expected, rows = mixed_doubles(1)
+    df = spark.createDataFrame(rows, "g int, v double").repartition(4)
+    found = dict(df.groupBy("g").agg(exact_sum("v", reach=EVERY)).collect())
+    assert found == expected
+    # The same through partial sums, merged in another order and with one part taken away again.
+    parts = df.groupBy("g", F.pmod(F.hash("v"), F.lit(3)).alias("h")).agg(sum_state("v", EVERY).alias("s"))
+    extra = parts.where("h = 0").select("g", "h", "s", F.explode(F.array(F.lit(1), F.lit(-1))).alias("sign"))
+    signed = parts.withColumn("sign", F.lit(1)).unionByName(extra)
+    merged = signed.groupBy("g").agg(merge_states("s", sign=F.col("sign"), reach=EVERY).alias("s"))
+    assert dict(merged.select("g", state_sum("s", EVERY)).collect()) == expected
+
+
+def test_exact_sum_of_amounts_equals_fsum(spark):
+    rnd = random.Random(2)
+    sets = {g: [rnd.choice([-1, 1]) * rnd.random() * 10.0 ** rnd.randint(-8, 18) for _ in range(200)] for g in range(40)}
+    sets |= {g: [round(rnd.random() * 300, 2) for _ in range(rnd.randrange(1, 90))] for g in range(40, 80)}
+    rows = [(g, v) for g, values in sets.items() for v in values]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, v double").repartition(5)
+    assert dict(df.groupBy("g").agg(exact_sum("v")).collect()) == {g: math.fsum(v) for g, v in sets.items()}
+    ordered = Window.partitionBy("g").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    running = df.where("g < 5").select("g", "v", exact_sum("v", ordered).alias("s")).collect()
+    for r in running:
+        assert r["s"] == math.fsum(v for v in sets[r["g"]] if v <= r["v"])
+
+
+def test_merged_states_without_values(spark):
+    df = spark.createDataFrame([(1, None), (2, 1.5)], "g int, v double")
+    states = df.groupBy("g").agg(sum_state("v").alias("s")).withColumn("sign", F.lit(1))
+    gone = states.unionByName(states.withColumn("sign", F.lit(-1)))
+    for frame, total in ((states, 1.5), (gone, None)):
+        merged = frame.groupBy("g").agg(merge_states("s", sign=F.col("sign")).alias("s"))
+        assert dict(merged.select("g", state_sum("s")).collect()) == {1: None, 2: total}

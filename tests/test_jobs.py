@@ -129,7 +129,7 @@ def test_a_column_missing_everywhere_rejects_every_row(spark):
 def test_split(spark, orders_csv, tmp_path):
     out = str(tmp_path / "split")
     assert jobs.split_orders_file(spark, orders_csv, out) == {"total": 6, "valid": 3, "failed": 3}
-    failed = spark.read.json(f"{out}/is_valid=false")
+    failed = spark.read.json(f"{out}/rows=failed")
     assert sorted(r.id for r in failed.collect()) == ["13", "15", "16"]
 
 
