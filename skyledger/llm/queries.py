@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chosen_path, collocations, host_rules, language, mixing, order_minhash, packing, quotations, secret_scan, warc, wavelet
+from skyledger.llm import audit_repair, chosen_path, collocations, host_rules, language, mixing, order_minhash, packing, page_difference, quotations, secret_scan, warc, wavelet
 from skyledger.llm.storage import ready, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,16 @@ def op11_phrase_collocations(documents: DataFrame) -> DataFrame:
     return collocations.collocations(documents)
 
 
+@over("conversations")
+def op12_audit_repair(messages: DataFrame) -> DataFrame:
+    return audit_repair.repair_damage(messages)
+
+
+@over("pages")
+def op13_page_difference(pages: DataFrame) -> DataFrame:
+    return page_difference.main_text(pages)
+
+
 @over("pages")
 def op7_warc_reader(pages: DataFrame) -> DataFrame:
     return warc.read_archives(warc.write_archives(pages)).select(
@@ -118,6 +128,8 @@ QUERIES: dict[str, Query] = {
     "op9_order_minhash": op9_order_minhash,
     "op10_host_rules": op10_host_rules,
     "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_audit_repair": op12_audit_repair,
+    "op13_page_difference": op13_page_difference,
 }
 
 # Where SQL can express the whole answer. Tokenizers, trained models and the engine's own hash
