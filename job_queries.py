@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import schemas
+from skyledger.functions.sums import EVERY, exact_sum
 from skyledger.operators.quality import DataCheckError, require_fields, require_key, require_rows
-from skyledger.operators.shared import scratch_path
-from skyledger.plans import jobs
+from skyledger.operators.shared import scratch_path, settle
+from skyledger.plans import incremental, jobs, marts, staging
+from skyledger.plans.weather import weather_summary
 from skyledger.sources import files, messy
 from skyledger.sources.registry import WAREHOUSE, source, table_path
 from skyledger.sources.writers import read_table, write_csv, write_json
@@ -214,7 +216,65 @@ def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(said.items()), "gate string, said string")
 
 
+def city_mart_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The city mart from stored states after two loads, without reading the first load again.
+
+    The second load brings later orders, and earlier ones of low amount that had other amounts.
+    """
+    weather = staging.stg_weather(weather_summary(messy.view(spark, sf_dir, messy.WEATHER)))
+    staged = staging.stg_deliveries(messy.view(spark, sf_dir, messy.DELIVERIES))
+    enriched = settle(marts.int_orders_enriched(staged, weather), "enriched").frame
+    early = F.col("order_date") < "1997-01-01"
+    again = early & (F.col("amount") < 20)
+    wrong = enriched.where(early).withColumn("amount", F.when(again, 0.07).otherwise(F.col("amount")))
+    table = incremental.city_table(scratch_path(spark, "city_states"), spark)
+    incremental.apply_load(table, wrong)
+    restated = wrong.where("amount = 0.07")
+    incremental.apply_load(
+        table, enriched.where(~early).unionByName(enriched.where(again)), restated
+    )
+    return incremental.city_mart(table.read(spark))
+
+
+def restaurants_in_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct restaurants of a city per year from daily sketches, beside the exact counts.
+
+    `within` says whether the estimate is within five per cent, several times its usual error.
+    """
+    orders = staging.stg_orders(messy.view(spark, sf_dir, messy.RAW_ORDERS))
+    orders = settle(
+        orders.select("customer_city", "restaurant_name", F.to_date("ordered_at").alias("day")), "orders"
+    ).frame
+    sketches = incremental.distinct_sketches(orders, ["customer_city", "day"], "restaurant_name")
+    stored = settle(sketches, "sketches").frame
+    parts = []
+    for first, last in (("1992-01-01", "1993-06-30"), ("1993-07-01", "1996-02-29"), ("1992-01-01", "2005-01-01")):
+        period = F.col("day").between(first, last)
+        estimate = incremental.distinct_in(stored, ["customer_city"], period)
+        exact = orders.where(period).groupBy("customer_city").agg(F.count_distinct("restaurant_name").alias("restaurants"))
+        parts.append(exact.join(estimate, "customer_city").withColumn("until", F.lit(last)))
+    joined = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    near = F.abs(F.col("estimate") - F.col("restaurants")) <= F.greatest(F.lit(1.0), F.col("restaurants") * 0.05)
+    return joined.select("customer_city", "until", "restaurants", near.alias("within"))
+
+
+def sums_across_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of amounts whose sizes differ by forty digits, most of which cancel.
+
+    In odd parts only the smallest amounts are left, in even ones some of the usual size too.
+    """
+    return spark.sql(
+        """SELECT l_suppkey % 20 AS part, l_extendedprice * scale AS amount
+           FROM {lines} LATERAL VIEW explode(array(1D, -1D, 1e-18D, 1e24D, -1e24D)) s AS scale
+           WHERE scale <> -1 OR l_linenumber <> 1 OR l_suppkey % 2 = 1""",
+        lines=messy.table(spark, sf_dir, "lineitem"),
+    ).groupBy("part").agg(exact_sum("amount", reach=EVERY).alias("total"))
+
+
 JOBS = {
+    "city_mart_two_loads": city_mart_two_loads,
+    "restaurants_in_periods": restaurants_in_periods,
+    "sums_across_scales": sums_across_scales,
     "split_files": split_files,
     "typed_files": typed_files,
     "process_order_files": process_order_files,

@@ -524,6 +524,26 @@ ORACLES |= {
         UNION ALL
         SELECT 'fields', concat('record ', MIN(CAST(o_orderkey AS VARCHAR)), ' is missing field: amount')
         FROM orders WHERE o_orderkey % 71 = 0""",
+    "city_mart_two_loads": CITY_SUMMARY,
+    "restaurants_in_periods": query(["known_orders", "stg_orders"], """,
+        periods AS (
+          SELECT * FROM (VALUES (DATE '1992-01-01', DATE '1993-06-30'),
+            (DATE '1993-07-01', DATE '1996-02-29'), (DATE '1992-01-01', DATE '2005-01-01')) p(lo, hi))
+        SELECT customer_city, strftime(hi, '%Y-%m-%d') AS until,
+          COUNT(DISTINCT restaurant_name) AS restaurants, TRUE AS within
+        FROM stg_orders JOIN periods ON CAST(ordered_at AS DATE) BETWEEN lo AND hi
+        GROUP BY customer_city, hi"""),
+    # All else cancels. Whole numbers of 2**-96, or 2**-110 where only small amounts are left.
+    "sums_across_scales": """
+        SELECT part, CASE WHEN part % 2 = 1 THEN CAST(CAST(small AS VARCHAR) AS DOUBLE) / pow(2, 110)
+          ELSE CAST(CAST(usual AS VARCHAR) AS DOUBLE) / pow(2, 96) END AS total
+        FROM (
+          SELECT l_suppkey % 20 AS part,
+            SUM(CAST(l_extendedprice * 1e-18 * pow(2, 110) AS HUGEINT)) AS small,
+            SUM(CAST(l_extendedprice * 1e-18 * pow(2, 96) AS HUGEINT))
+              + COALESCE(SUM(CAST(l_extendedprice * pow(2, 96) AS HUGEINT))
+                  FILTER (WHERE l_linenumber = 1), 0) AS usual
+          FROM lineitem GROUP BY 1)""",
     "stored_warehouse": ORACLES["warehouse_enriched"],
     "stored_star": query([*STAR[:2], "dim_city", "dim_status", "fact_orders"], """,
         first_cities AS (

@@ -24,13 +24,13 @@ from skyledger.operators.cleaning import (
     unknown_cities,
 )
 from skyledger.operators.lookups import lookup_join
-from skyledger.operators.merging import put, upsert
+from skyledger.operators.merging import put
 from skyledger.operators.quality import require_fields, require_rows
 from skyledger.operators.shared import settle, together
 from skyledger.plans import marts, staging, star
 from skyledger.plans.weather import aggregate_weather, weather_summary
 from skyledger.sources import files, payloads
-from skyledger.sources.registry import WAREHOUSE, source, table_path
+from skyledger.sources.registry import WAREHOUSE, bucketed, source, table_path
 from skyledger.sources.writers import (
     read_table,
     replace_table,
@@ -67,7 +67,7 @@ def summarise_readings(
 def load_orders(orders: DataFrame, root: str) -> int:
     cleaned = clean_orders_sql(orders).withColumn("id", F.col("id").cast("bigint"))
     batch = cleaned.select(*schemas.ORDERS.fieldNames())
-    return upsert_table(batch, table_path(root, "orders"), schemas.ORDERS, "id")
+    return bucketed(root, "orders").upsert(batch)
 
 
 def load_weather(readings: DataFrame, root: str) -> int:
@@ -107,31 +107,24 @@ def _earlier(spark: SparkSession, root: str, name: str) -> DataFrame:
 def load_star(deliveries: DataFrame, root: str) -> star.Star:
     """Add deliveries to the four tables of the star, and return it on top of what is stored.
 
-    Facts are put in place by order and days by date, so those of earlier loads stay. So do city
-    and status keys.
+    Facts are put in place by order, in the buckets of the batch, and days by date, so those of
+    earlier loads stay. So do city and status keys.
     """
     spark = deliveries.sparkSession
     built = star.build_star(
         deliveries, _earlier(spark, root, "dim_city"), _earlier(spark, root, "dim_status")
     )
-    days, facts = together(
-        spark,
-        lambda: settle(
-            put(_earlier(spark, root, "dim_date"), built.dates, "date_key"), "dim_date"
-        ),
-        lambda: settle(
-            upsert(_earlier(spark, root, "fact_orders"), built.facts, "order_key"), "fact_orders"
-        ),
-    )
+    days = settle(put(_earlier(spark, root, "dim_date"), built.dates, "date_key"), "dim_date")
     tables = {
         "dim_date": (days.frame, "date_key"),
         "dim_city": (built.cities.frame, "city_key"),
         "dim_status": (built.statuses.frame, "status_key"),
-        "fact_orders": (facts.frame, "order_key"),
     }
+    # Facts come last: a load that fails leaves dimensions with more rows, and no fact without one.
     _store(spark, root, tables)
-    stored = read_table(spark, table_path(root, "fact_orders"), schemas.FACT_ORDERS)
-    return star.Star(stored, days, built.cities, built.statuses)
+    facts = bucketed(root, "fact_orders")
+    facts.upsert(built.facts)
+    return star.Star(facts.read(spark), days, built.cities, built.statuses)
 
 
 def load_entities(wide: DataFrame, root: str) -> dict[str, int]:

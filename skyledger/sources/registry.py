@@ -7,7 +7,8 @@ from pyspark.sql.types import StructType
 
 from skyledger import schemas
 from skyledger.sources.files import read_csv
-from skyledger.sources.writers import read_table
+from skyledger.sources.buckets import BucketedTable
+from skyledger.sources.writers import TableNotFoundError, read_table
 
 WAREHOUSE: dict[str, StructType] = {
     "orders": schemas.ORDERS,
@@ -24,6 +25,8 @@ WAREHOUSE: dict[str, StructType] = {
     "dim_cities": schemas.DIM_CITIES,
 }
 SEEDS: dict[str, StructType] = {"raw_orders": schemas.RAW_ORDERS}
+# Tables that grow by upserts, with their key; they lie in buckets of it.
+BUCKETED = {"orders": "id", "fact_orders": "order_key"}
 GROUPS = {"warehouse": WAREHOUSE, "seeds": SEEDS}
 
 
@@ -31,12 +34,21 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def bucketed(root: str, table: str) -> BucketedTable:
+    return BucketedTable(table_path(root, table), WAREHOUSE[table], BUCKETED[table])
+
+
 def source(spark: SparkSession, root: str, group: str, table: str) -> DataFrame:
-    """Warehouse tables are versioned folders; seeds are CSV files, all text.
+    """Warehouse tables are versioned folders or buckets; seeds are CSV files, all text.
 
     A table or file that is not there is an error.
     """
     schema = GROUPS[group][table]
     if group == "seeds":
         return read_csv(spark, f"{table_path(root, table)}.csv", schema)
+    if table in BUCKETED:
+        stored = bucketed(root, table)
+        if not stored.there(spark):
+            raise TableNotFoundError(stored.path)
+        return stored.read(spark)
     return read_table(spark, table_path(root, table), schema)
