@@ -6,7 +6,8 @@ normalised and hashed, and so are
 the bodies, paragraphs and lines that messages wrote themselves. A quoted passage is linked to the
 message of its conversation that wrote it first, if that came before. A message replies to the
 message linked by its outermost quotes: by whole passages before paragraphs before single lines, to
-the latest of several. A thread is a message with all replies to it and to those.
+the latest of several. Passages that link to nothing are not lost: `unlinked` holds their texts in order,
+as they may be quotes from elsewhere, or lines that begin with a mark for another reason. A thread is a message with all replies to it and to those.
 
 Reply order is conversation, thread, turn: every message comes after the one it answers, and
 threads stay together. Each message keeps its row, so a conversation of any size is spread over
@@ -26,7 +27,7 @@ from skyledger.llm.storage import stored
 
 MARKS = r"^(?:[ \t]*>)+"
 SAID = r"(?i)^(on|am|le|el)\b.*(wrote|schrieb.*|écrit|escribió) ?:$"  # a line that announces a quote
-ADDED = ("body", "reply_to", "thread", "n_quotes", "n_linked", "formatted")
+ADDED = ("body", "reply_to", "thread", "n_quotes", "n_linked", "unlinked", "formatted")
 WHOLE, PARAGRAPH, LINE = 2, 1, 0
 
 
@@ -52,8 +53,8 @@ def parsed(messages: DataFrame) -> DataFrame:
     return rows.withColumn("_own", body)
 
 
-def _quotes(rows: DataFrame) -> DataFrame:
-    """Hashes of quoted passages: conv_id, turn, level, rank of the kind, hash."""
+def _passages(rows: DataFrame) -> DataFrame:
+    """Quoted passages: conv_id, turn, level, place in the message, lines."""
     level = lambda i: F.get("_lines", i)["level"]
     rows = rows.where(F.exists("_lines", lambda x: x["level"] > 0))
     starts = F.filter(
@@ -67,8 +68,12 @@ def _quotes(rows: DataFrame) -> DataFrame:
         return F.struct(level(start).alias("level"), inside.alias("lines"))
 
     passages = F.filter(F.transform("_starts", passage), lambda p: p["level"] > 0)
-    rows = rows.select("conv_id", "turn", "_id", F.explode(passages).alias("_p"))
-    rows = rows.select("conv_id", "turn", "_id", "_p.level", "_p.lines", F.monotonically_increasing_id().alias("_passage"))
+    rows = rows.select("conv_id", "turn", "_id", F.posexplode(passages).alias("_passage", "_p"))
+    return rows.select("conv_id", "turn", "_id", "_passage", "_p.level", "_p.lines")
+
+
+def _quotes(rows: DataFrame) -> DataFrame:
+    """Hashes of quoted passages: conv_id, turn, level, rank of the kind, hash."""
     # A passage without a blank line is one paragraph, which is the passage itself.
     paragraphs = F.split(F.array_join("lines", "\n"), r"\n[\s>]*\n")
     paragraphs = F.when(F.size(paragraphs) > 1, paragraphs).otherwise(F.array().cast("array<string>"))
@@ -98,15 +103,22 @@ def _hashed(rows: DataFrame, *columns: str, text: str) -> DataFrame:
 
 def links(rows: DataFrame) -> DataFrame:
     """Per message row: `n_quotes`, `n_linked` and `reply_to`, the turn it answers."""
-    found = _quotes(rows).join(_originals(rows), ["conv_id", "hash"], "left")
+    quoted = _passages(rows)
+    found = _quotes(quoted).join(_originals(rows), ["conv_id", "hash"], "left")
     found = found.withColumn("origin", F.when(F.col("origin") < F.col("turn"), F.col("origin")))
     passages = found.groupBy("_id", "_passage", "level").agg(
         F.max(F.when(F.col("origin").isNotNull(), F.struct("kind", "origin"))).alias("best")
     )
+    texts = quoted.select("_id", "_passage", "level", F.array_join("lines", "\n").alias("_text"))
+    # Blank passages are no quotes.
+    passages = texts.join(passages, ["_id", "_passage", "level"], "left")
     best = F.when(F.col("best").isNotNull(), F.struct((-F.col("level")).alias("l"), "best.kind", "best.origin"))
+    loose = (normal(F.col("_text")) != "") & F.col("best").isNull()
+    texts = F.sort_array(F.collect_list(F.when(loose, F.struct("_passage", "_text"))))
     return passages.groupBy("_id").agg(
-        F.count("*").alias("n_quotes"), F.count("best").alias("n_linked"), F.max(best)["origin"].alias("reply_to")
-    )
+        F.count_if(normal(F.col("_text")) != "").alias("n_quotes"), F.count("best").alias("n_linked"),
+        F.max(best)["origin"].alias("reply_to"), F.transform(texts, lambda x: x["_text"]).alias("unlinked"),
+    )
 
 
 def threads(replies: DataFrame) -> DataFrame:
@@ -146,6 +158,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
         F.coalesce("root", "turn").alias("thread"),
         F.coalesce("n_quotes", F.lit(0)).alias("n_quotes"),
         F.coalesce("n_linked", F.lit(0)).alias("n_linked"),
+        F.coalesce("unlinked", F.array().cast("array<string>")).alias("unlinked"),
         formatted.alias("formatted"),
     )
 

@@ -1,3 +1,7 @@
+import itertools
+import random
+import re
+
 import pytest
 
 from skyledger.llm import quotations
@@ -64,3 +68,62 @@ def test_paragraphs_of_a_passage_with_new_line_breaks(spark):
     ]
     found = {r.turn: r for r in quotations.link_quotations(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert found[2].reply_to == 0 and found[2].thread == 0 and found[2].n_quotes == found[2].n_linked == 1
+
+
+def test_quotes_that_link_to_nothing_are_kept(spark):
+    text = "x > y\n>>> import os\n> \n\nprint\n> one\n> two\n> Same."
+    rows = [(1, 0, "user", "Same.", None), (1, 1, "user", text, None), (1, 2, "user", "> Same.", None)]
+    found = {r.turn: r for r in quotations.link_quotations(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found[1].body == "x > y\n\nprint" and found[1].unlinked == ["import os"]
+    assert found[1].n_quotes == 2 and found[1].n_linked == 1 and found[1].reply_to == 0
+    assert found[0].unlinked == found[2].unlinked == []
+
+
+def by_hand(messages):
+    """Replies by plain loops: passages before paragraphs before lines, of the outermost level."""
+
+    def norm(t):
+        return re.sub(r"[\s>]+", " ", t.lower()).strip()
+
+    def split(text):
+        lines = []
+        for line in re.split("\r?\n", text):
+            marks = re.match(r"(?:[ \t]*>)*", line).group()
+            lines.append((marks.count(">"), re.sub(r"^(?:[ \t]*>)+[ \t]?", "", line)))
+        return lines
+
+    first = {}
+    for conv, turn, text in sorted(messages):
+        own = "\n".join(c for level, c in split(text) if level == 0)
+        own = re.sub(r"\n\s*\n+", "\n\n", re.sub(r"\A\s+|\s+\Z", "", own))
+        for piece in {own, *own.split("\n\n"), *own.split("\n")}:
+            if norm(piece):
+                first.setdefault((conv, norm(piece)), turn)
+    out = {}
+    for conv, turn, text in messages:
+        best = None
+        for level, group in itertools.groupby(split(text), key=lambda x: x[0]):
+            lines = [c for _, c in group]
+            if not level:
+                continue
+            parts = re.split(r"\n[\s>]*\n", "\n".join(lines))
+            forms = [(2, " ".join(lines)), *((1, p) for p in parts if len(parts) > 1), *((0, c) for c in lines)]
+            found = [(kind, first[conv, norm(t)]) for kind, t in forms if first.get((conv, norm(t)), turn) < turn]
+            if found:
+                kind, origin = max(found)
+                best = max(best or (-99, 0, 0), (-level, kind, origin))
+        out[conv, turn] = best and best[2]
+    return out
+
+
+def test_equals_plain_loops(spark):
+    rnd = random.Random(1)
+    lines = ["Yes, at ten.", "And the budget?", "a b", "c", "", "Thanks"]
+    messages = []
+    for conv in range(25):
+        for turn in range(6):
+            text = "\n".join(rnd.choice(["", "", "> ", ">> "]) + rnd.choice(lines) for _ in range(rnd.randrange(1, 7)))
+            messages.append((conv, turn, text))
+    frame = spark.createDataFrame([(c, t, "user", x, None) for c, t, x in messages], SCHEMA)
+    found = {(r.conv_id, r.turn): r.reply_to for r in quotations.link_quotations(frame).collect()}
+    assert found == by_hand(messages)
