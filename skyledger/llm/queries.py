@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import audit_repair, chosen_path, collocations, host_rules, language, mixing, order_minhash, packing, page_difference, quotations, secret_scan, warc, wavelet
+from skyledger.llm import audit_repair, audit_sql, chosen_path, collocations, host_rules, language, mixing, order_minhash, packing, page_difference, quotations, secret_scan, warc, wavelet
 from skyledger.llm.storage import ready, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +46,8 @@ def op2_minimum_bin_slack(documents: DataFrame) -> DataFrame:
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
-    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0
+    remainder = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
+    return F.coalesce(remainder == 0, F.lit(False))
 
 
 def language_model(documents: DataFrame) -> language.Model:
@@ -135,6 +136,7 @@ QUERIES: dict[str, Query] = {
 # Where SQL can express the whole answer. Tokenizers, trained models and the engine's own hash
 # functions have no SQL form; those queries are tested against brute force.
 ORACLES: dict[str, str] = {
+    "op12_audit_repair": audit_sql.REPAIR_SQL,
     "op3_chosen_path_join": r"""
         WITH RECURSIVE
         split AS (

@@ -3,9 +3,13 @@ import random
 import re
 import zlib
 
+import duckdb
 import pytest
 
 from skyledger.llm import audit_repair as a
+from skyledger.llm.audit_sql import REPAIR_SQL
+from skyledger.llm.queries import QUERIES
+from tests.compare import difference
 from tests.conftest import rows
 
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, digest string, n int"
@@ -101,6 +105,18 @@ def test_equals_trying_all_repairs(spark):
     assert rows(a.repair_damage(frame(spark, messages))) == by_hand(messages)
 
 
+def test_sql_equals_trying_all_repairs():
+    messages = sample(4, 60, 5)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", messages)
+    assert sorted(con.execute(REPAIR_SQL).fetchall(), key=repr) == by_hand(messages)
+
+
+def test_query_equals_sql(spark, con, sf_dir):
+    assert difference(QUERIES["op12_audit_repair"](spark, sf_dir), con, REPAIR_SQL) == ""
+
+
 def test_conversation_cut_into_slices(spark):
     messages = sample(2, 3, 6)
     sliced = a.in_order(a.damaged(frame(spark, messages)))
