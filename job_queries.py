@@ -17,6 +17,7 @@ from skyledger.operators.shared import scratch_path, settle
 from skyledger.plans import incremental, jobs, marts, staging
 from skyledger.plans.weather import weather_summary
 from skyledger.sources import files, messy
+from skyledger.sources.history import HistoryTable
 from skyledger.sources.registry import WAREHOUSE, source, table_path
 from skyledger.sources.writers import read_table, write_csv, write_json
 from skyledger.streaming.landing import load_landed, report_failed
@@ -216,6 +217,30 @@ def refusals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(said.items()), "gate string, said string")
 
 
+def _looked_at(spark: SparkSession, sf_dir: str) -> HistoryTable:
+    """Three looks at the deliveries: some not there yet, some changed, some gone."""
+    deliveries = messy.view(spark, sf_dir, messy.DELIVERIES_TIDY)
+    table = HistoryTable(scratch_path(spark, "history"), deliveries.schema, "id", ("status", "amount"))
+    late = F.when(F.col("order_date") >= "2000-07-01", "delivered").otherwise(F.col("status"))
+    second = deliveries.withColumn("status", late)
+    third = second.where(F.col("order_date") >= "1996-01-01").withColumn(
+        "amount", F.coalesce("amount", F.lit("0.00"))
+    )
+    table.look(deliveries.where(F.col("order_date") < "2001-01-01"), 1)
+    table.look(second, 2)
+    table.look(third, 3)
+    return table
+
+
+def history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _looked_at(spark, sf_dir).read(spark)
+
+
+def history_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the second of three looks saw, versions that the third one closed included."""
+    return _looked_at(spark, sf_dir).as_of(spark, 2)
+
+
 def city_mart_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The city mart from stored states after two loads, without reading the first load again.
 
@@ -272,6 +297,8 @@ def sums_across_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 JOBS = {
+    "history_table": history_table,
+    "history_as_of": history_as_of,
     "city_mart_two_loads": city_mart_two_loads,
     "restaurants_in_periods": restaurants_in_periods,
     "sums_across_scales": sums_across_scales,

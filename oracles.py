@@ -524,6 +524,10 @@ ORACLES |= {
         UNION ALL
         SELECT 'fields', concat('record ', MIN(CAST(o_orderkey AS VARCHAR)), ' is missing field: amount')
         FROM orders WHERE o_orderkey % 71 = 0""",
+    "history_table": ORACLES["history"],
+    "history_as_of": f"""
+        SELECT * FROM ({ORACLES["history"]})
+        WHERE valid_from <= 2 AND (valid_to IS NULL OR valid_to > 2)""",
     "city_mart_two_loads": CITY_SUMMARY,
     "restaurants_in_periods": query(["known_orders", "stg_orders"], """,
         periods AS (
