@@ -22,7 +22,8 @@ from skyledger.functions.numbers import price
 from skyledger.functions.text import blank_to_null, slug
 from skyledger.operators import cleaning, dimensions, merging
 from skyledger.operators.profile import column_profiles
-from skyledger.operators.shared import scratch_path, settle, settle_all
+from skyledger.operators.quality import settle_checked
+from skyledger.operators.shared import scratch_path, settle
 from skyledger.plans import analytics, jobs, marts, staging, star, suite
 from skyledger.plans.weather import aggregate_weather, weather_summary
 from skyledger.sources import files, messy, payloads
@@ -129,8 +130,13 @@ def payload_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged tables and marts are written once, then all checks read what was written."""
-    staged = settle_all(
+    """Staged tables and marts are written once; that write counts the row checks.
+
+    Only keys are read again, for uniqueness.
+    """
+    checks = suite.suite()
+    staged = settle_checked(
+        checks,
         stg_deliveries=staging.stg_deliveries(messy.view(spark, sf_dir, messy.DELIVERIES)),
         stg_weather=staging.stg_weather(weather_summary(messy.view(spark, sf_dir, messy.WEATHER))),
         stg_orders=staging.stg_orders(messy.view(spark, sf_dir, messy.RAW_ORDERS)),
@@ -138,14 +144,16 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
             messy.view(spark, sf_dir, messy.RESTAURANT_ORDERS)
         ),
     )
-    enriched = marts.int_orders_enriched(staged["stg_deliveries"].frame, staged["stg_weather"])
-    by_restaurant_name = marts.int_orders_by_restaurant(staged["stg_orders"].frame)
-    built = settle_all(
-        mart_city_summary=marts.mart_city_summary(enriched),
-        mart_restaurant_summary=marts.mart_restaurant_summary(by_restaurant_name),
-        mart_restaurant_daily=marts.mart_restaurant_daily(staged["stg_restaurant_orders"].frame),
+    stored = {name: checked.table for name, checked in staged.items()}
+    enriched = marts.int_orders_enriched(stored["stg_deliveries"].frame, stored["stg_weather"])
+    by_restaurant_name = marts.int_orders_by_restaurant(stored["stg_orders"].frame)
+    built = settle_checked(
+        checks,
+        mart_city_summary=marts.mart_city_summary(enriched, ordered=False),
+        mart_restaurant_summary=marts.mart_restaurant_summary(by_restaurant_name, ordered=False),
+        mart_restaurant_daily=marts.mart_restaurant_daily(stored["stg_restaurant_orders"].frame),
     )
-    return suite.report({name: table.frame for name, table in {**staged, **built}.items()})
+    return suite.report({**staged, **built})
 
 
 def upsert(deliveries: DataFrame) -> DataFrame:

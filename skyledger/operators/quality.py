@@ -1,19 +1,22 @@
 """Data checks.
 
 A check counts the rows (or, for uniqueness, the keys) that break it. All row checks of one
-table share a single pass; a suite is one frame with a row per check.
+table share a single pass; a suite is one frame with a row per check. A table that is written
+anyway has its row checks counted by that write (`settle_checked`), and is not read for them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from skyledger.operators.shared import Settled, settle, together
+
 
 class DataCheckError(ValueError):
     """Input that must not be loaded."""
@@ -43,6 +46,35 @@ def custom(table: str, name: str, column: str, breaks: Column) -> list[Check]:
     return [Check(table, name, column, breaks)]
 
 
+@dataclass(frozen=True)
+class Checked:
+    """A table on shared storage, with the violations of its row checks as its write counted them."""
+
+    table: Settled
+    violations: tuple[int, ...]
+
+
+def settle_checked(checks: Sequence[Check], **frames: DataFrame) -> dict[str, Checked]:
+    """Write tables that do not depend on each other, counting their row checks on the way."""
+
+    def write(name: str, df: DataFrame) -> Checked:
+        counted = [c.breaks for c in checks if c.table == name and c.breaks is not None]
+        if not counted:
+            return Checked(settle(df, name), ())
+        seen = Observation()
+        table = settle(df.observe(seen, *(F.count_if(b).alias(f"_{i}") for i, b in enumerate(counted))), name)
+        return Checked(table, tuple(seen.get[f"_{i}"] for i in range(len(counted))))
+
+    spark = next(iter(frames.values())).sparkSession
+    return dict(zip(frames, together(spark, *(partial(write, n, df) for n, df in frames.items()))))
+
+
+def counted_report(spark: SparkSession, table: str, checks: Sequence[Check], counts: Sequence[int]) -> DataFrame:
+    """As `row_check_report`, from counts that were taken before."""
+    rows = [(table, c.column, c.name, n) for c, n in zip(checks, counts)]
+    return spark.createDataFrame(rows, "table_name string, column_name string, check_name string, violations bigint")
+
+
 def row_check_report(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     """One aggregate over the table, then one output row per check."""
     counted = df.agg(*(F.count_if(c.breaks).alias(f"_{i}") for i, c in enumerate(checks)))
@@ -74,12 +106,15 @@ def unique_report(df: DataFrame, table: str, column: str) -> DataFrame:
     )
 
 
-def quality_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+def quality_report(tables: Mapping[str, DataFrame | Checked], checks: Sequence[Check]) -> DataFrame:
     parts: list[DataFrame] = []
-    for table, df in tables.items():
+    for table, given in tables.items():
+        df = given.table.frame if isinstance(given, Checked) else given
         mine = [c for c in checks if c.table == table]
         by_row = [c for c in mine if c.breaks is not None]
-        if by_row:
+        if by_row and isinstance(given, Checked):
+            parts.append(counted_report(df.sparkSession, table, by_row, given.violations))
+        elif by_row:
             parts.append(row_check_report(df, table, by_row))
         parts.extend(unique_report(df, table, c.column) for c in mine if c.breaks is None)
     report = reduce(DataFrame.unionByName, parts)

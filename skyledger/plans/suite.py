@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger.operators.quality import (
     Check,
+    Checked,
     accepted_values,
     custom,
     not_null,
@@ -45,5 +46,5 @@ def suite() -> list[Check]:
     ]
 
 
-def report(tables: Mapping[str, DataFrame]) -> DataFrame:
+def report(tables: Mapping[str, DataFrame | Checked]) -> DataFrame:
     return quality_report(tables, suite())

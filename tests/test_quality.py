@@ -11,6 +11,7 @@ from skyledger.operators.quality import (
     require_fields,
     require_key,
     require_rows,
+    settle_checked,
     unique,
 )
 from skyledger.plans.suite import suite
@@ -42,6 +43,19 @@ def test_seeded_violations_are_found(table):
     }
 
 
+def test_checks_ride_on_the_write(spark, table):
+    """The same report, and the stored table is read for keys alone."""
+    checks = [*not_null("t", "id", "amount"), *unique("t", "id"), *accepted_values("t", "status", ["delivered"])]
+    checked = settle_checked(checks, t=table, u=table.where("false"))
+    report = quality_report(checked, checks)
+    assert rows(report) == rows(quality_report({"t": table}, checks))
+    assert report.where("table_name = 'u'").count() == 0
+    scans = [x for x in report._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in x]
+    assert scans and all("ReadSchema: struct<id:" in x and "amount" not in x for x in scans)
+    empty = settle_checked(checks, t=table.where("false"))
+    assert {r.violations for r in quality_report(empty, checks).collect()} == {0}
+
+
 def test_an_empty_table_breaks_nothing(table):
     checks = [*not_null("t", "id"), *unique("t", "id")]
     report = quality_report({"t": table.where("false")}, checks)
