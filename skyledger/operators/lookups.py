@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, and_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +22,6 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 2_000_000
 MOST_HOT_KEYS = 100_000
-MOST_KEY_BYTES = 200
-MOST_SALTS = 1_000
 HOW = ("inner", "left", "left_semi", "left_anti")
 
 
@@ -48,16 +46,14 @@ def lookup_join(
         return _join(large, F.broadcast(lookup.frame), keys, how, null_safe)
 
     counts = settle(large.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "key_counts").frame
-    # At most MOST_HOT_KEYS keys can hold more than this share of all rows each, and a key that is
-    # longer than MOST_KEY_BYTES is joined unsalted, so the list is small enough to broadcast.
+    # At most MOST_HOT_KEYS keys can hold more than this share of all rows each. They are labelled
+    # by a hash, so the list is small enough to broadcast however long keys are; another key of the
+    # same hash is salted too, which does no harm. All salts together are as many as hot rows fill.
     share = (counts.agg(F.sum("_rows") / F.lit(MOST_HOT_KEYS))).scalar()
-    short = reduce(add, (F.coalesce(F.length(F.col(k).cast("string")), F.lit(0)) for k in keys))
     many = (F.col("_rows") > F.lit(hot_rows)) & (F.col("_rows") > share)
-    salts = F.least(F.ceil(F.col("_rows") / hot_rows), F.lit(MOST_SALTS)).cast("int")
-    hot = settle(
-        counts.where(many & (short <= MOST_KEY_BYTES)).select(*keys, salts.alias("_salts")),
-        "hot_keys",
-    )
+    label = F.xxhash64(*keys).alias("_label")
+    salts = F.max(F.ceil(F.col("_rows") / hot_rows)).alias("_salts")
+    hot = settle(counts.where(many).groupBy(label).agg(salts), "hot_keys")
     if hot.rows == 0:
         return _join(large, lookup.frame, keys, how, null_safe)
     labels = F.broadcast(hot.frame)
@@ -65,8 +61,9 @@ def lookup_join(
     # Any column may tell rows of a key apart; equal rows share a salt.
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in _hashable(large)]), last).alias("_salt")
     copies = F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint") - 1)).alias("_salt")
-    salted = _join(large, labels, keys, "left", True).select(*large.columns, spread)
-    copied = _join(lookup.frame, labels, keys, "left", True).select(*lookup.frame.columns, copies)
+    labelled = large.select("*", label).join(labels, "_label", "left")
+    salted = labelled.select(*large.columns, spread)
+    copied = lookup.frame.select("*", label).join(labels, "_label", "left").select(*lookup.frame.columns, copies)
     return _join(salted, copied, keys, how, null_safe, also="_salt").drop("_salt")
 
 

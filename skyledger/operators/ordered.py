@@ -1,8 +1,8 @@
 """Row numbers and previous values over groups of any size.
 
 A window puts each group into one task. That is right while the whole input is small, and it is
-used then. A frame is counted by one scan, a stored table brings its counts along. Above the limits
-of rows or bytes the rows are range-partitioned on group and order, sorted inside each
+used then. A stored table brings its counts along; any other frame is stored first, which counts it,
+so that it is worked out once. Above the limits of rows or bytes the rows are range-partitioned on group and order, sorted inside each
 partition and written with their position; a partition holds a slice of one group or a few whole
 groups. One small row per slice carries what the next slice needs from the ones before it.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from skyledger.operators.lookups import lookup_join
-from skyledger.operators.shared import Settled, measure, settle
+from skyledger.operators.shared import Settled, settle
 
 WINDOW_ROWS = 5_000_000
 WINDOW_BYTES = 1 << 30
@@ -30,8 +30,8 @@ def with_row_number(
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Number the rows of each group from 1. The order must be total for a stable result."""
-    rows = df.frame if isinstance(df, Settled) else df
-    if _is_small(df, window_rows):
+    rows, small = _source(df, window_rows)
+    if small:
         return rows.withColumn(name, F.row_number().over(_window(group, order)).cast("bigint"))
 
     sliced = _slices(rows, group, order)
@@ -60,8 +60,8 @@ def with_previous(
     window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Value of the row before, within the group; null on the first row of a group."""
-    rows = df.frame if isinstance(df, Settled) else df
-    if _is_small(df, window_rows):
+    rows, small = _source(df, window_rows)
+    if small:
         return rows.withColumn(name, F.lag(value).over(_window(group, order)))
 
     sliced = _slices(rows, group, order)
@@ -83,9 +83,12 @@ def with_previous(
     )
 
 
-def _is_small(df: DataFrame | Settled, window_rows: int) -> bool:
-    rows, size = (df.rows, df.size) if isinstance(df, Settled) else measure(df)
-    return rows <= window_rows and size <= WINDOW_BYTES
+def _source(df: DataFrame | Settled, window_rows: int) -> tuple[DataFrame, bool]:
+    """The rows, and whether one window per group may take them."""
+    if window_rows <= 0:
+        return df.frame if isinstance(df, Settled) else df, False
+    known = df if isinstance(df, Settled) else settle(df, "ordered")
+    return known.frame, known.rows <= window_rows and known.size <= WINDOW_BYTES
 
 
 def _window(group: Sequence[str], order: Sequence[Column]) -> WindowSpec:

@@ -89,12 +89,6 @@ def settle(df: DataFrame, label: str = "table") -> Settled:
     return Settled(frame, written.get["rows"], written.get["size"])
 
 
-def measure(df: DataFrame) -> tuple[int, int]:
-    """Rows and (roughly) bytes of a frame, by one scan."""
-    size = F.coalesce(F.sum(_row_bytes(df)), F.lit(0))
-    return tuple(df.agg(F.count(F.lit(1)), size).first())
-
-
 def together(spark: SparkSession, *actions: Callable[[], T]) -> list[T]:
     """Run actions that do not depend on each other at the same time; results in their order."""
     run = inheritable_thread_target(spark)(lambda action: action())
