@@ -5,11 +5,15 @@ falls back to its n-grams of four characters, and to three, two and one where no
 occurred (a word is taken with a mark at each end). A text has the language with the highest sum;
 its score is that language's share when all sums are turned into probabilities.
 
-Training counts on Spark and keeps the most frequent words and n-grams, so the model is of bounded
-size. It may be fitted on a bounded sample: at most SAMPLE_ROWS labelled rows per language, drawn
-by a hash of the text.
+Training counts on Spark and keeps the words and n-grams that occur LEAST_COUNT times or more. It is
+fitted on a bounded sample, at most SAMPLE_ROWS labelled rows per language, drawn by a hash of the
+text, which bounds the model too.
 
-Defined results: a null text, or one without a letter, is `und` with score 0; rows without a
+A word is a run of letters. Texts are lowered, cut and numbered a batch at a time, each distinct word
+is looked up once, and the weights of a text are summed over its numbers.
+
+Defined results: a null text, or one without a letter, is `und` with score 0; a null doc_id is not
+held out; rows without a
 language are no training rows; without any training row every text is `und`; equal sums give the
 language that sorts first; repeated rows count as often as they occur. Other columns of the
 documents are kept, `lang_pred` and `score` are replaced where they exist.
@@ -17,13 +21,13 @@ documents are kept, `lang_pred` and `score` are replaced where they exist.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -31,16 +35,21 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from skyledger.llm.storage import release_memory, stored, with_columns_of
 
 SAMPLE_ROWS = 20_000  # labelled rows per language
-MAX_WORDS = 60_000
-MAX_GRAMS = 60_000
+LEAST_COUNT = 3  # occurrences in the sample; rarer words fall back to n-grams
 LONGEST_GRAM = 4
 REMEMBERED = 150_000  # scored words kept per Python worker
 UNKNOWN = "und"
-_WORDS = re.compile(r"[^\W\d_]+")
+_OTHER = r"[^\p{L}]+"
 
 
-def words_of(text: str) -> list[str]:
-    return _WORDS.findall(text.lower())
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-case words of all texts, and the text each stands in. Null has none."""
+    lowered = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    parts = pc.split_pattern(pc.replace_substring_regex(lowered, _OTHER, " "), " ")
+    text_of = pc.list_parent_indices(parts).to_numpy()
+    words = parts.flatten()
+    there = pc.binary_length(words).to_numpy() > 0
+    return words.filter(pa.array(there)), text_of[there]
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -59,14 +68,17 @@ class Model:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found: dict[str, Counter] = {}
-        for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-            found.setdefault(lang, Counter()).update(words_of(text or ""))
-        for lang, words in found.items():
-            names = list(words)
+        words, text_of = words_of(batch.column("text"))
+        langs, coded = batch.column("lang").dictionary_encode(), words.dictionary_encode()
+        lang_of = langs.indices.to_numpy().astype(np.int64)[text_of]
+        found, n = np.unique(
+            lang_of * max(1, len(coded.dictionary)) + coded.indices.to_numpy(), return_counts=True
+        )
+        if len(found):
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(names)), pa.array(names, pa.string()),
-                 pa.array([words[w] for w in names], pa.int64())],
+                [langs.dictionary.take(pa.array(found // len(coded.dictionary))),
+                 coded.dictionary.take(pa.array(found % len(coded.dictionary))).cast(pa.string()),
+                 pa.array(n.astype(np.int64))],
                 names=["lang", "term", "n"],
             )
 
@@ -97,7 +109,7 @@ def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     return labelled.where(place < F.element_at(share, F.col("lang")))
 
 
-def fit(labelled: DataFrame) -> Model:
+def fit(labelled: DataFrame, least: int = LEAST_COUNT) -> Model:
     """Count words and n-grams of rows with `text` and a non-null `lang`, and keep the frequent."""
     rows = labelled.where(F.col("lang").isNotNull()).select("text", F.col("lang").cast("string").alias("lang"))
     schema = "lang string, term string, n bigint"
@@ -107,13 +119,13 @@ def fit(labelled: DataFrame) -> Model:
     totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     kept = []
-    for terms, most in ((words, MAX_WORDS), (grams, MAX_GRAMS)):
+    for terms in (words, grams):
         per_language = [
             F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"n{i}")
             for i, x in enumerate(languages)
         ]
         by_term = terms.groupBy("term").agg(F.sum("n").alias("_all"), *per_language)
-        frequent = by_term.orderBy(F.desc("_all"), "term").limit(most).collect()
+        frequent = by_term.where(F.col("_all") >= least).orderBy("term").collect()
         kept.append([(r["term"], [r[f"n{i}"] for i in range(len(languages))]) for r in frequent])
     terms = [t for found in kept for t in found]
     counts = np.array([n for _, n in terms], float).reshape(len(terms), len(languages))
@@ -153,19 +165,26 @@ class Scorer:
             self.table[row] = self._vector(word)
         return row
 
-    def score(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text or "")
-        if not self.languages or not any(c.isalpha() for word in words for c in word):
-            return UNKNOWN, 0.0
+    def score(self, texts: pa.Array) -> tuple[list[str], list[float]]:
+        """Language and score of each text."""
         if len(self.rows) > REMEMBERED:
             self.rows.clear()
-        sums = np.zeros(len(self.languages))
-        for at in range(0, len(words), 100_000):
-            rows = [self._row(word) for word in words[at : at + 100_000]]  # the table may grow
-            sums += self.table[rows].sum(0)
-        likely = np.exp(sums - sums.max())
-        best = int(likely.argmax())
-        return self.languages[best], float(likely[best] / likely.sum())
+        names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        words, text_of = words_of(texts)
+        if not self.languages or not len(words):
+            return names, scores
+        coded = words.dictionary_encode()
+        known = np.fromiter(map(self._row, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        places = known[coded.indices.to_numpy()]
+        starts = np.flatnonzero(np.diff(text_of, prepend=-1))
+        # One language at a time, so that a batch needs a number per word and no more.
+        sums = np.stack([np.add.reduceat(column[places], starts) for column in self.table.T], 1)
+        likely = np.exp(sums - sums.max(1, keepdims=True))
+        best = likely.argmax(1)
+        share = likely[np.arange(len(best)), best] / likely.sum(1)
+        for text, language, score in zip(text_of[starts].tolist(), best.tolist(), share.tolist()):
+            names[text], scores[text] = self.languages[language], score
+        return names, scores
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
@@ -177,10 +196,9 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)
         for batch in batches:
-            found = [scorer.score(text.as_py()) for text in batch.column("text")]
+            names, scores = scorer.score(batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([x[0] for x in found], pa.string()),
-                 pa.array([x[1] for x in found], pa.float64())],
+                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"],
             )
             release_memory()

@@ -1,3 +1,7 @@
+import re
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,17 +21,56 @@ def test_held_out_documents(spark, sf_dir):
 def model(spark):
     rows = [("the river and the stone", "en"), ("der Fluss und die Brücke", "de"),
             ("le fleuve et la pierre", "fr"), ("the", None), (None, "fr"), ("the fog", "en")]
-    return language.fit(spark.createDataFrame(rows, "text string, lang string"))
+    return language.fit(spark.createDataFrame(rows, "text string, lang string"), least=1)
+
+
+def judged(scorer, *texts):
+    return list(zip(*scorer.score(pa.array(texts, pa.string()))))
 
 
 def test_words_first_then_shorter_and_shorter_grams(model):
     scorer = language.Scorer(model)
     assert scorer.languages == ["de", "en", "fr"]
-    assert scorer.score("The river")[0] == "en" and scorer.score("Brücken")[0] == "de"
-    assert scorer.score("pierres fleuves")[0] == "fr"
-    assert scorer.score("qqq xyzzy")[1] < 0.9
-    for text in (None, "", "12 34 ²", "… !!"):
-        assert scorer.score(text) == ("und", 0.0)
+    found = judged(scorer, "The river", "Brücken", None, "pierres fleuves", "qqq xyzzy", "")
+    assert [x[0] for x in found][:4] == ["en", "de", "und", "fr"]
+    assert found[4][1] < 0.9 and found[5] == ("und", 0.0)
+    assert judged(scorer, None, "", "12 34 ²", "… !!") == [("und", 0.0)] * 4
+    assert judged(scorer) == []
+
+
+def test_equals_scoring_word_by_word(spark, sf_dir):
+    """The definition in plain Python: known words, else the mean of the longest known n-grams."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    fitted = language_model(docs)
+    texts = [r.text for r in docs.select("text").collect()]
+
+    def weight(word):
+        if word in fitted.rows:
+            return fitted.weights[fitted.rows[word]]
+        for n in (4, 3, 2, 1):
+            marked = f"<{word}>" if n > 1 else word
+            grams = [f"{n}:{marked[i : i + n]}" for i in range(len(marked) - n + 1)]
+            known = [fitted.weights[fitted.rows[g]] for g in grams if g in fitted.rows]
+            if known:
+                return np.mean(known, 0)
+        return np.zeros(len(fitted.languages))
+
+    found = judged(language.Scorer(fitted), *texts)
+    for text, (name, score) in zip(texts, found):
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        sums = sum((weight(w) for w in words), np.zeros(len(fitted.languages)))
+        if words:
+            share = np.exp(sums - sums.max())
+            assert name == fitted.languages[int(share.argmax())]
+            assert abs(score - share.max() / share.sum()) < 1e-9
+
+
+def test_null_ids_are_not_held_out_and_equal_sums_go_to_the_first(spark):
+    rows = [(None, "aa"), (5, "aa"), (5, "bb")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert docs.where(held_out()).count() <= 2 and docs.where(held_out().isNull()).count() == 0
+    twins = language.fit(spark.createDataFrame([("x y", "b"), ("x y", "a")], "text string, lang string"), least=1)
+    assert judged(language.Scorer(twins), "x") == [("a", 0.5)]
 
 
 def test_odd_documents_keep_their_columns(spark, model):
