@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger import schemas
@@ -74,9 +74,27 @@ def typed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def process_order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records leave out fields without a value, so some lack a required key."""
-    records, out = scratch_path(spark, "records"), scratch_path(spark, "judged")
+    records = scratch_path(spark, "records")
     _deliveries(spark, sf_dir).write.json(records, ignoreNullFields=True)
-    jobs.process_orders_file(spark, records, out, lines=True)
+    return _judged(spark, records, lines=True)
+
+
+def process_order_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records in a few files of one array each."""
+    records = scratch_path(spark, "arrays")
+    rows = _deliveries(spark, sf_dir).withColumn("file", F.col("id") % 4)
+    in_file = Window.partitionBy("file").orderBy("id")
+    json = F.to_json(F.struct(*(c for c in rows.columns if c != "file")), {"ignoreNullFields": "true"})
+    first = F.when(F.lag("id").over(in_file).isNull(), "[").otherwise(",")
+    last = F.when(F.lead("id").over(in_file).isNull(), "]").otherwise("")
+    text = rows.select("file", F.concat(first, json, last).alias("value"))
+    text.write.partitionBy("file").text(records)
+    return _judged(spark, records, lines=False)
+
+
+def _judged(spark: SparkSession, records: str, lines: bool) -> DataFrame:
+    out = scratch_path(spark, "judged")
+    jobs.process_orders_file(spark, records, out, lines=lines)
     schema = (
         "id string, city string, amount double, status string, raw_amount string, reason string, "
         "other_keys map<string, string>, is_valid boolean"
@@ -305,6 +323,7 @@ JOBS = {
     "split_files": split_files,
     "typed_files": typed_files,
     "process_order_files": process_order_files,
+    "process_order_arrays": process_order_arrays,
     "analysis_files": analysis_files,
     "weather_report_files": weather_report_files,
     "landed_readings": landed_readings,

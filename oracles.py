@@ -593,3 +593,4 @@ def fix_extra_steps(sql: str) -> str:
 
 
 ORACLES = {name: fix_extra_steps(sql) for name, sql in ORACLES.items()}
+ORACLES["process_order_arrays"] = ORACLES["process_order_files"]

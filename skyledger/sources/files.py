@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from skyledger.functions.text import blank_to_null
+from skyledger.sources.arrays import array_records
 
 # A quote inside a quoted cell is written twice, as most CSV tools do.
 CSV_TEXT = {"quote": '"', "escape": '"'}
@@ -124,16 +125,15 @@ def read_json_records(
 
     The column `missing_keys` lists required keys a record does not have, and `other_keys` maps
     keys that are not in the schema to their values as text. With `lines=False`
-    each file must hold a JSON array; another root, or text that is not JSON, fails the read.
+    each file must hold a JSON array of objects, which any number of tasks read; another root, or text
+    that is not JSON, fails the read.
     """
     if lines:
         records = spark.read.text(path).where(F.trim("value") != "").select(
             F.col("value").alias("record")
         )
     else:
-        files = spark.read.text(path, wholetext=True)
-        parsed = F.from_json(_array_text(F.col("value")), "array<string>", {"mode": "FAILFAST"})
-        records = files.select(F.explode(parsed).alias("record"))
+        records = array_records(spark, path)
     options = {"mode": "FAILFAST"}
     keys = F.json_object_keys("record")
     wanted = F.array(*(F.lit(k) for k in required)).cast("array<string>")
@@ -145,11 +145,3 @@ def read_json_records(
         F.array_except(wanted, keys).alias("missing_keys"),
         F.map_filter(values, lambda k, _: ~F.array_contains(declared, k)).alias("other_keys"),
     ).select("fields.*", "missing_keys", "other_keys")
-
-
-def _array_text(text: Column) -> Column:
-    message = F.concat(
-        F.lit("expected a JSON array, found: "), F.substring(F.ltrim(text), F.lit(1), F.lit(20))
-    )
-    is_array = F.regexp_like(text, F.lit(r"^\s*\["))
-    return F.when(is_array, text).otherwise(F.raise_error(message).cast("string"))
