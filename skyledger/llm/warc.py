@@ -153,14 +153,15 @@ def _page(record: Record) -> dict:
 def with_responses(pages: DataFrame) -> DataFrame:
     """Adds `refers_to`: the smallest page_id of equal payloads, null where it is the row's own.
 
-    Payloads are compared by SHA-256 and length. The first of each payload are counted up before
-    the shuffle; rows of one very frequent payload are split by adaptive skew handling.
+    Payloads are compared by SHA-256. The first page of each is found by an aggregate that combines
+    before the shuffle, and stored: a join of two tables is one that adaptive execution splits where
+    one payload holds too many of the rows.
     """
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), "url", "html",
         F.sha2(F.coalesce("html", F.lit("")), 256).alias("_sha"),
     )
-    first = rows.groupBy("_sha").agg(F.min("page_id").alias("_first"))
+    first = stored(rows.groupBy("_sha").agg(F.min("page_id").alias("_first")), "first_pages")
     own = F.col("page_id").eqNullSafe(F.col("_first"))
     return rows.join(first, "_sha").select(
         "page_id", "url", "html", F.when(~own, F.col("_first")).alias("refers_to")

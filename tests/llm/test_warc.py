@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.llm import warc
 
@@ -54,3 +55,27 @@ def test_broken_archives_are_refused():
     for broken in (raw.replace(b"text text", b"test text", 1), raw.replace(b"Content-Length: 2", b"Content-Length: 1")):
         with pytest.raises(ValueError):
             warc.parse(broken)
+
+
+def test_rows_of_one_frequent_payload_are_split(spark):
+    """A third of the pages has one payload; the join is one that adaptive execution splits."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        html = F.when(F.col("id") % 3 == 0, "copy").otherwise(F.sha2(F.col("id").cast("string"), 512))
+        pages = spark.range(6000, numPartitions=12).select(
+            F.col("id").alias("page_id"), F.sha2(F.concat(F.lit("u"), "id"), 512).alias("url"), html.alias("html")
+        )
+        found = warc.with_responses(pages)
+        assert len(found.collect()) == 6000
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
