@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from skyledger.operators.shared import scratch_path
+from skyledger.operators.shared import scratch_path, shared_folder
 
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -22,6 +23,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch_folders(spark: SparkSession) -> set[str]:
+    """Folders of intermediate tables and files that this application has written so far."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/skyledger/{spark.sparkContext.applicationId}")
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {s.getPath().toString() for s in files.listStatus(top)} if files.exists(top) else set()
+
+
 def spread(files: DataFrame, n: int) -> DataFrame:
     """Rows that name files, one task for each up to a bound; small rows would share a task."""
     return files.repartition(max(1, min(n, 100_000)))
@@ -51,6 +60,20 @@ def ready(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def gathered(batches: Iterator[pa.RecordBatch], n_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to a number of bytes; a batch is never split."""
+    held, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.nbytes
+        if size >= n_bytes:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def release_memory() -> None:
     """Give freed buffers back to the machine; a worker lives on through all tasks of a stage."""
     pa.default_memory_pool().release_unused()
