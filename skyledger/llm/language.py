@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -62,9 +63,17 @@ class Model:
     """Log frequencies: a row of `weights` per word or n-gram, a column per language."""
 
     languages: list[str]
-    rows: dict[str, int]  # words as they are; n-grams behind their length and a colon
+    terms: pa.Array  # words as they are; n-grams behind their length and a colon
     weights: np.ndarray
 
+    @cached_property
+    def rows(self) -> dict[str, int]:
+        """Row of each term. It is made where it is needed and does not travel."""
+        return {t: i for i, t in enumerate(self.terms.to_pylist())}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "rows"}
+
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
@@ -125,18 +134,22 @@ def fit(labelled: DataFrame, least: int = LEAST_COUNT) -> Model:
             for i, x in enumerate(languages)
         ]
         by_term = terms.groupBy("term").agg(F.sum("n").alias("_all"), *per_language)
-        frequent = by_term.where(F.col("_all") >= least).orderBy("term").collect()
-        kept.append([(r["term"], [r[f"n{i}"] for i in range(len(languages))]) for r in frequent])
-    terms = [t for found in kept for t in found]
-    counts = np.array([n for _, n in terms], float).reshape(len(terms), len(languages))
-    n_words = len(kept[0])
+        # Columns, not rows: the driver holds no object per term.
+        kept.append(by_term.where(F.col("_all") >= least).drop("_all").toArrow().sort_by("term"))
+    found = pa.concat_tables(kept)
+    counts = np.zeros((len(found), len(languages)))
+    for i in range(len(languages)):
+        counts[:, i] = found.column(f"n{i}").to_numpy()
+    terms = found.column("term").combine_chunks()
+    terms = terms if isinstance(terms, pa.Array) else pa.concat_arrays(terms.chunks)
     # Words share one sum of frequencies, n-grams of each length another.
-    kinds = np.array([t[0] if i >= n_words else "w" for i, (t, _) in enumerate(terms)])
+    kinds = pc.utf8_slice_codeunits(terms, 0, 1).to_numpy(zero_copy_only=False).astype("U1")
+    kinds[: len(kept[0])] = "w"
     weights = np.zeros_like(counts)
     for kind in set(kinds.tolist()):
         own = kinds == kind
         weights[own] = np.log((counts[own] + 0.5) / (counts[own].sum(0) + 0.5 * own.sum()))
-    return Model(languages, {t: i for i, (t, _) in enumerate(terms)}, weights)
+    return Model(languages, terms, weights)
 
 
 class Scorer:
