@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.storage import WholeFile, file_system, spread, stored
+from skyledger.llm.storage import WholeFile, file_system, gathered, spread, stored
 from skyledger.llm.tokens import ID, encoder
 from skyledger.operators.shared import scratch_path
 
@@ -210,6 +210,9 @@ class WaveletFile:
         return unbuild(planes, self.zeros, self.n)
 
 
+GATHERED_BYTES = 12 << 20  # small batches are encoded together, which shares their words
+
+
 def _writer(tokenizer: str, end_id: int, folder: str, shard_tokens: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard = TaskContext.get().partitionId(), 0
@@ -226,7 +229,7 @@ def _writer(tokenizer: str, end_id: int, folder: str, shard_tokens: int) -> Call
             row |= {"n_docs": [len(doc_ids)], "n_tokens": [int(ends[-1])]}
             return pa.RecordBatch.from_pydict(row, MANIFEST_ARROW)
 
-        for batch in batches:
+        for batch in gathered(batches, GATHERED_BYTES):
             keys = batch.column("doc_id").to_pylist()
             for at, found, sizes in tokens.encode_in_slices(batch.column("text")):
                 # The end id goes behind each document of the slice.
