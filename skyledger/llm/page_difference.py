@@ -1,16 +1,19 @@
-"""Main text of web pages, by markup and by the difference to the page with the nearest URL.
+"""Main text of web pages, by the difference to the page with the nearest URL, checked by markup.
 
-Markup comes first. What stands in menus, headers, footers, sidebars, forms, notices, adverts or
-comments by its tag, role or class is never text. If a page has an article, its blocks are the
-text. The named method decides for all other pages: pages of a host are put in the order of their
-URL paths, a page is paired with the neighbour whose path shares the longest prefix, the lines of
-both are aligned by longest common subsequence, and lines they share are deleted.
+Every page goes through the named method with all lines that it shows: pages of a host are put in
+the order of their URL paths, a page is paired with the neighbour whose path shares the longest
+prefix, the lines of both are aligned by longest common subsequence, and lines they share go.
 
-Alone, the method cannot give right results: menus and adverts may differ from page to page, and
-copies of an article on one host would delete each other. So lines of an article are never deleted,
-pages of one host with the same lines count once, and a neighbour that shares half of a page's
-characters is a copy, for which the other neighbour is taken; where both are copies, or a host has
-one page only, nothing is deleted.
+Alone, the method cannot give right results: menus and adverts may differ from page to page, copies
+of an article on one host would delete each other, and a heading may stand in two articles. So its
+result is checked by markup. What stands in menus, headers, footers, sidebars, forms, notices,
+adverts or comments by its tag, role or class goes even if no other page has it. If a page has
+articles, those that keep a line of their own are the text, whole, and an article that the
+neighbour shares line by line goes; where no article keeps a line, all stay.
+
+Pages of one host with the same lines outside such places count once, and a neighbour that shares
+half of the characters there is a copy, for which the other neighbour is taken; where both are
+copies, or a host has one page only, nothing is deleted.
 
 Neighbours are found from hashes of lines, a few bytes a line, in sorted slices, so that no host is
 one task; texts are not shuffled. Longest common subsequences are exact, over bit vectors and by
@@ -41,7 +44,8 @@ from skyledger.operators.lookups import lookup_join
 from skyledger.operators.ordered import with_previous
 from skyledger.operators.shared import settle
 
-MARKED, FORM, OPEN, MAIN, ARTICLE = range(5)  # regions, the later ones are nearer to the text
+# Regions, the later ones are nearer to the text; each article has a number from ARTICLE on.
+HIDDEN, MARKED, FORM, OPEN, MAIN, ARTICLE = range(6)
 COPY_SHARE = 0.5
 OUT_BYTES = 8 << 20
 
@@ -88,6 +92,9 @@ class Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[int, str]] = []
         self.parts: list[str] = []
+        self.where = OPEN  # region of the parts
+        self.aside: list[str] = []  # what stands in a marked region or a form
+        self.articles = 0
         self.stack: list[tuple[str, int]] = []
         self.open: Counter[str] = Counter()
 
@@ -95,32 +102,46 @@ class Blocks(HTMLParser):
         return self.stack[-1][1] if self.stack else OPEN
 
     def flush(self) -> None:
-        if self.parts:
-            text = " ".join("".join(self.parts).split())
-            if text:
-                self.blocks.append((self.region(), text))
-            self.parts = []
+        for region, parts in ((self.where, self.parts), (MARKED, self.aside)):
+            if parts:
+                text = " ".join("".join(parts).split())
+                if text:
+                    self.blocks.append((region, text))
+                parts.clear()
 
     def handle_data(self, data: str) -> None:
-        if self.region() > FORM:
+        region = self.region()
+        if region > FORM:
+            if region != self.where:
+                if self.parts:
+                    self.flush()
+                self.where = region
             self.parts.append(data)
+        elif region != HIDDEN:
+            self.aside.append(data)
 
     def _entered(self, tag: str, attrs: dict[str, str | None]) -> int | None:
         """The region a tag begins, None if it stays in the one around it."""
         around = self.region()
-        if around == MARKED or tag in ("html", "body"):
+        if around == HIDDEN or tag in ("html", "body"):
             return None
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
         role = (attrs.get("role") or "").strip().lower()
         if tag in HIDDEN_TAGS or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-            return MARKED
+            return HIDDEN
         if "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
-            return MARKED
+            return HIDDEN
+        if around == MARKED:
+            return None
         if tag in ("article", "main") or role in ("article", "main"):
             if noisy(names, COMMENT):
                 return MARKED
-            inner = MAIN if "main" in (tag, role) else ARTICLE
-            return max(inner, around) if around != FORM else inner
+            if around >= ARTICLE:
+                return around
+            if "main" in (tag, role):
+                return MAIN
+            self.articles += 1
+            return ARTICLE + self.articles - 1
         if tag == "form":
             return FORM if around < MAIN else MARKED
         if tag in MARKED_TAGS or (role in MARKED_ROLES) or noisy(names, NOISE):
@@ -180,11 +201,17 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
     return parser.blocks
 
 
+def _main(found: list[tuple[int, str]]) -> list[str]:
+    """Lines of all articles, else of the region nearest to the text."""
+    best = min(ARTICLE, max((region for region, _ in found if region > FORM), default=OPEN))
+    return [t for region, t in found if min(region, ARTICLE) == best]
+
+
 def main_lines(html: str | None) -> tuple[bool, list[str], list[str]]:
     """Whether the page has an article, its main lines by markup, and all lines not marked."""
     found = blocks(html)
-    best = max((region for region, _ in found), default=OPEN)
-    return best == ARTICLE, [t for region, t in found if region == best], [t for _, t in found]
+    article = any(region >= ARTICLE for region, _ in found)
+    return article, _main(found), [t for region, t in found if region > FORM]
 
 
 def _lengths(a: Sequence[int], b: Sequence[int]) -> np.ndarray:
@@ -241,22 +268,29 @@ def _signature(lines: list[str]) -> bytes:
     return hashlib.md5("\n".join(lines).encode("utf-8", "surrogatepass")).digest()
 
 
+def _sign(found: list[tuple[int, str]]) -> bytes:
+    """Signature of the lines not marked and the regions they stand in."""
+    return _signature([t if region == OPEN else f"{region}\0{t}" for region, t in found if region > FORM])
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Host, path, signature, hashes and lengths of the lines, and whether it needs a partner."""
+    """Host, path, signature, and of every line that a page shows its hash, length and region."""
     for batch in batches:
         rows = []
         if not batch.num_rows:
             continue
         for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            settled, _, lines = main_lines(html)
+            found = blocks(html)
             host, path = address(url)
-            hashes = np.fromiter((xxhash.xxh3_64_intdigest(t) for t in lines), np.uint64, len(lines))
-            sizes = np.fromiter(map(len, lines), np.int32, len(lines))
-            rows.append((host, path, _signature(lines), hashes.tobytes(), sizes.tobytes(), not settled and bool(lines)))
+            # A menu entry and a line of the text are not the same line.
+            hashes = np.fromiter((xxhash.xxh3_64_intdigest(t, region <= FORM) for region, t in found), np.uint64, len(found))
+            sizes = np.fromiter((len(t) for _, t in found), np.int32, len(found))
+            regions = np.fromiter((region for region, _ in found), np.int32, len(found))
+            rows.append((host, path, _sign(found), hashes.tobytes(), sizes.tobytes(), regions.tobytes()))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.bool_()))],
-            ["host", "path", "signature", "hashes", "sizes", "open"],
-        )
+            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), *[pa.binary()] * 4))],
+            ["host", "path", "signature", "hashes", "sizes", "regions"],
+        )
 
 
 def _likeness(a: str, b: str) -> int:
@@ -269,58 +303,63 @@ def _likeness(a: str, b: str) -> int:
     return n
 
 
-def shared_lines(page: dict, others: list[dict | None], copy_share: float = COPY_SHARE) -> list[int]:
-    """Lines of a page that the nearest of the others has too, unless that is a copy of it."""
+def shared_lines(page: dict, others: list[dict | None], copy_share: float = COPY_SHARE) -> np.ndarray:
+    """Which lines of a page the nearest of the others has too, unless that is a copy of it."""
     near = sorted((o for o in others if o), key=lambda o: -_likeness(page["path"], o["path"]))
     own = np.frombuffer(page["hashes"], np.uint64).tolist()
-    sizes = np.frombuffer(page["sizes"], np.int32)
+    sizes = np.frombuffer(page["sizes"], np.int32) * (np.frombuffer(page["regions"], np.int32) > FORM)
     for other in near:
-        shared = common_subsequence(own, np.frombuffer(other["hashes"], np.uint64).tolist())
+        shared = np.zeros(len(own), bool)
+        shared[common_subsequence(own, np.frombuffer(other["hashes"], np.uint64).tolist())] = True
         if sizes[shared].sum() < copy_share * sizes.sum():
             return shared
-    return []
+    return np.zeros(len(own), bool)
+
+
+def checked(shared: np.ndarray, regions: np.ndarray) -> np.ndarray:
+    """Of the main lines by markup, which go: the shared ones, of articles only whole ones."""
+    regions, shared = regions[regions > FORM], shared[regions > FORM]
+    best = min(ARTICLE, regions.max(initial=OPEN))
+    if best < ARTICLE:
+        return shared[regions == best]
+    own = np.unique(regions[~shared & (regions >= ARTICLE)])
+    regions = regions[regions >= ARTICLE]
+    return ~np.isin(regions, own) if len(own) else np.zeros(len(regions), bool)
 
 
 def _differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [
-            (r["host"], r["signature"], shared_lines(r["page"], [r["before"], r["after"]]))
-            for r in batch.to_pylist()
-        ]
-        rows = [r for r in rows if r[2]]
+        rows = []
+        for r in batch.to_pylist():
+            shared = shared_lines(r["page"], [r["before"], r["after"]])
+            gone = checked(shared, np.frombuffer(r["page"]["regions"], np.int32))
+            if gone.any():
+                rows.append((r["host"], r["signature"], gone))
         if rows:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.binary(), pa.list_(pa.int32())))],
-                ["host", "signature", "shared"],
+                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.binary(), pa.list_(pa.bool_())))],
+                ["host", "signature", "gone"],
             )
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text by markup; for pages without an article also their lines and regions."""
+    """The main lines of every page by markup."""
 
     def made(rows):
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(
-                zip(*rows),
-                (pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int32())),
+                zip(*rows), (pa.int64(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.string())),
             )],
-            ["page_id", "url", "text", "host", "signature", "lines", "places"],
+            ["page_id", "url", "host", "signature", "lines"],
         )
 
     for batch in batches:
         rows, size = [], 0
         for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns)):
             found = blocks(html)
-            best = max((region for region, _ in found), default=OPEN)
-            lines = [t for region, t in found if region == best]
-            text = "\n".join(lines)
-            if best == ARTICLE or not lines:
-                rows.append((page_id, url, text, None, None, None, None))
-            else:
-                places = [i for i, (region, _) in enumerate(found) if region == best]
-                sign = _signature([t for _, t in found])
-                rows.append((page_id, url, None, address(url)[0], sign, lines, places))
-            size += len(text)
+            lines = _main(found)
+            rows.append((page_id, url, address(url)[0], _sign(found), lines))
+            size += sum(map(len, lines))
             if size >= OUT_BYTES:
                 yield made(rows)
                 rows, size = [], 0
@@ -329,44 +368,39 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def deleted_lines(pages: DataFrame) -> DataFrame:
-    """Per host and signature of a page without article: the lines its nearest page shares."""
+    """Per host and signature of a page that loses main lines: for each of them, whether it goes."""
     measured = pages.select("url", "html").mapInArrow(
-        _measure, "host string, path string, signature binary, hashes binary, sizes binary, open boolean"
+        _measure, "host string, path string, signature binary, hashes binary, sizes binary, regions binary"
     )
     # Equal lines on a host are one page here, under the first of their paths.
     distinct = settle(
         measured.groupBy("host", "signature").agg(
-            F.min("path").alias("path"), F.first("hashes").alias("hashes"),
-            F.first("sizes").alias("sizes"), F.max("open").alias("open"),
+            F.min(F.struct("path", "hashes", "sizes", "regions")).alias("page")
         ),
         "page_lines",
-    )
-    here = F.struct("path", "hashes", "sizes")
-    rows = distinct.frame.withColumn("page", here).drop("hashes", "sizes")
+    )
+    rows = distinct.frame.withColumn("path", F.col("page.path"))
     order = [F.col("path"), F.col("signature")]
     # Always in slices: a window by host would put a host into one task.
     before = with_previous(rows, ["host"], order, "page", "before", window_rows=0)
     back = [F.col("path").desc(), F.col("signature").desc()]
     both = with_previous(before, ["host"], back, "page", "after", window_rows=0)
-    return both.where("open").select("host", "signature", "page", "before", "after").mapInArrow(
-        _differ, "host string, signature binary, shared array<int>"
+    return both.select("host", "signature", "page", "before", "after").mapInArrow(
+        _differ, "host string, signature binary, gone array<boolean>"
     )
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """The main text of every page: page_id, url, text, n_chars."""
-    shared = settle(deleted_lines(pages), "shared_lines")
+    deleted = settle(deleted_lines(pages), "deleted_lines")
     found = pages.select(F.col("page_id").cast("bigint"), "url", "html").mapInArrow(
-        _extract,
-        "page_id bigint, url string, text string, host string, signature binary, lines array<string>, places array<int>",
+        _extract, "page_id bigint, url string, host string, signature binary, lines array<string>"
     )
-    if shared.rows:
-        found = lookup_join(found, shared, ["host", "signature"], null_safe=True)
-        gone = F.coalesce("shared", F.array().cast("array<int>"))
-        kept = F.filter("lines", lambda _, i: ~F.array_contains(gone, F.get("places", i)))
-    else:
-        kept = F.col("lines")
-    text = F.coalesce("text", F.array_join(kept, "\n"))
-    return found.select("page_id", "url", text.alias("text")).withColumn(
+    kept = F.col("lines")
+    if deleted.rows:
+        found = lookup_join(found, deleted, ["host", "signature"], null_safe=True)
+        rest = F.filter("lines", lambda _, i: ~F.get("gone", i))
+        kept = F.when(F.col("gone").isNull(), kept).otherwise(rest)
+    return found.select("page_id", "url", F.array_join(kept, "\n").alias("text")).withColumn(
         "n_chars", F.length("text").cast("bigint")
     )

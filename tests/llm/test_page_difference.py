@@ -86,6 +86,40 @@ def test_copies_do_not_delete_each_other(spark):
     assert found[3] == "\n".join(long) and found[4] == "\n".join([*long, "more"])
 
 
+def test_pages_with_an_article_are_differenced(spark):
+    """An article that the neighbour has too goes, a line that two articles share stays."""
+    teaser = article("Read our offers", "Order now")
+    pages = [
+        (1, "http://h/a", PAGE % (teaser + article("Introduction", "What the first page tells at length, in many words of its own"))),
+        (2, "http://h/b", PAGE % (teaser + article("Introduction", "The second one is about other things and shares none of them"))),
+        (3, "http://h/c", PAGE % (article("The third page has no teaser", "Introduction") + article("and goes on"))),
+        (4, "http://h/d", PAGE % article("Introduction")),
+    ]
+    assert texts(spark, pages) == {
+        1: "Introduction\nWhat the first page tells at length, in many words of its own",
+        2: "Introduction\nThe second one is about other things and shares none of them",
+        3: "The third page has no teaser\nIntroduction\nand goes on",
+        4: "Introduction",
+    }
+    gone = [r["gone"] for r in p.deleted_lines(frame(spark, pages)).collect()]
+    assert gone == [[True, True, False, False]] * 2
+
+
+def test_lines_of_menus_are_aligned_but_are_not_lines_of_the_text(spark):
+    found = p.blocks("<nav><a>Menu</a></nav><form>Find</form><script>x</script><div>Menu</div>")
+    assert [t for region, t in found if region <= p.FORM] == ["Menu", "Find"]
+    pages = [
+        (1, "http://h/a", "<nav>Menu</nav>" + plain("one line of its own", "About")),
+        (2, "http://h/b", "<nav>About</nav>" + plain("Menu", "another line of its own")),
+    ]
+    assert texts(spark, pages) == {1: "one line of its own\nAbout", 2: "Menu\nanother line of its own"}
+
+
+def test_text_before_an_advert_within_a_line_stays(spark):
+    html = article("Hello <span class=ad><div>Buy</div></span>world")
+    assert texts(spark, [(1, "http://h/a", html)]) == {1: "Hello\nworld"}
+
+
 def test_slices_equal_a_plain_loop(spark):
     """Many pages of one host, some of others; partners as a sort of all pages gives them."""
     rnd = random.Random(7)
