@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger import schemas
-from skyledger.functions.sums import EVERY, exact_sum
+from skyledger.functions.sums import exact_sum_by
 from skyledger.operators.quality import DataCheckError, require_fields, require_key, require_rows
 from skyledger.operators.shared import scratch_path, settle
 from skyledger.plans import incremental, jobs, marts, staging
@@ -306,12 +306,13 @@ def sums_across_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     In odd parts only the smallest amounts are left, in even ones some of the usual size too.
     """
-    return spark.sql(
+    amounts = spark.sql(
         """SELECT l_suppkey % 20 AS part, l_extendedprice * scale AS amount
            FROM {lines} LATERAL VIEW explode(array(1D, -1D, 1e-18D, 1e24D, -1e24D)) s AS scale
            WHERE scale <> -1 OR l_linenumber <> 1 OR l_suppkey % 2 = 1""",
         lines=messy.table(spark, sf_dir, "lineitem"),
-    ).groupBy("part").agg(exact_sum("amount", reach=EVERY).alias("total"))
+    )
+    return exact_sum_by(amounts, ["part"], "amount", "total")
 
 
 JOBS = {

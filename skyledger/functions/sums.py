@@ -10,7 +10,8 @@ partial sums alike.
 Two windows are `near`: the digits of values below 2**63 down to the 63rd binary place. They are
 kept as six sums of 21 digits each (room for 4e12 rows in a group). Larger values, and what is left
 below the 63rd place, are `far`. With reach EVERY, the default, they go to 36 more windows that
-reach every double. With reach NEAR, which is many times as fast and meant for money and
+reach every double; `exact_sum_by` gives the same sums per group, and carries the windows of a value alone
+through the first of two steps, so use it for many rows. With reach NEAR, which is many times as fast and meant for money and
 temperatures, they are added as doubles. That is exact too for values from 1e-9 to 9e18, as what is
 left of them has few digits; beyond, nothing is lost, but last digits depend on the order of rows.
 
@@ -19,10 +20,10 @@ NaN and infinity give what adding doubles gives. A sum beyond the largest double
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from skyledger.functions.text import col
@@ -61,17 +62,38 @@ def _parts(x: Column, reach: str) -> dict[str, Column]:
     if reach == NEAR:
         return parts
 
-    far = F.when((parts["rest"] != 0.0) & (F.abs(x) < float("inf")), parts["rest"])
+    far = _far(x, parts["rest"])
     parts["rest"] = F.when(F.abs(x) < float("inf"), 0.0).otherwise(x)
-    # A value may count as one window too high, where its digits still fit into two.
-    place = F.floor((F.log2(F.abs(far)) + 0.001) / WINDOW).cast("int")
-    scaled = far * F.pow(F.lit(2.0), place * -31) * F.pow(F.lit(2.0), place * -32)
-    upper = scaled.try_cast("bigint")
-    lower = (scaled % 1.0 * _SIZE).try_cast("bigint")
-    for i, name in enumerate(FAR, LOWEST):
-        part = F.when(place == i, upper).when(place == i + 1, lower)
-        parts[name] = part.cast("decimal(28,0)")
-    return parts
+    place = _place(far)
+    scaled = _scaled(far, place)
+    return parts | _windows(place, scaled.try_cast("bigint"), _below(scaled), "decimal(28,0)")
+
+
+def _far(x: Column, rest: Column) -> Column:
+    return F.when((rest != 0.0) & (F.abs(x) < float("inf")), rest)
+
+
+def _place(far: Column) -> Column:
+    """The upper one of the two windows that hold the digits of a far value.
+
+    A value may count as one window too high, where its digits still fit into two.
+    """
+    return F.floor((F.log2(F.abs(far)) + 0.001) / WINDOW).cast("int")
+
+
+def _scaled(far: Column, place: Column) -> Column:
+    return far * F.pow(F.lit(2.0), place * -31) * F.pow(F.lit(2.0), place * -32)
+
+
+def _below(scaled: Column) -> Column:
+    return (scaled % 1.0 * _SIZE).try_cast("bigint")
+
+
+def _windows(place: Column, upper: Column, lower: Column, kind: str) -> dict[str, Column]:
+    return {
+        name: F.when(place == i, upper).when(place == i + 1, lower).cast(kind)
+        for i, name in enumerate(FAR, LOWEST)
+    }
 
 
 def _over(window: WindowSpec | None) -> Aggregate:
@@ -196,6 +218,39 @@ def exact_sum(c: str | Column, window: WindowSpec | None = None, reach: str = NE
     return _total(_state(_parts(col(c).cast("double"), reach), F.lit(None), _over(window)))
 
 
+def exact_sum_by(df: DataFrame, keys: Sequence[str], c: str | Column, name: str) -> DataFrame:
+    """Per group the sum that exact_sum gives with reach EVERY, for any number of rows.
+
+    Values are first added per group and place, where each has two far windows. So all windows
+    stand side by side only in the second step, over as many rows as a group has places.
+    """
+    x = F.col("_x")
+    parts = _parts(x, NEAR)
+    split = df.select(*keys, col(c).cast("double").alias("_x"))
+    split = split.select(*keys, x, *(part.alias(f"_{n}") for n, part in parts.items()))
+    split = split.withColumn("_far", _far(x, F.col("_rest")))
+    split = split.withColumn("_rest", F.when(F.abs(x) < float("inf"), 0.0).otherwise(x))
+    split = split.withColumn("_place", _place(F.col("_far")))
+    split = split.withColumn("_scaled", _scaled(F.col("_far"), F.col("_place")))
+    split = split.withColumns(
+        {"_upper": F.col("_scaled").try_cast("bigint"), "_lower": _below(F.col("_scaled"))}
+    )
+    sums = [F.sum(f"_{n}").alias(f"_{n}") for n in parts]
+    for n in ("_upper", "_lower"):
+        sums += [F.sum(d).alias(f"{n}{i}") for i, d in enumerate(_digits(F.col(n)))]
+    placed = split.groupBy(*keys, "_place").agg(*sums)
+
+    def whole(n: str) -> Column:
+        terms = [F.col(f"{n}{i}").cast("decimal(20,0)") * F.lit(Decimal(1 << DIGIT * i)) for i in range(3)]
+        return (terms[0] + terms[1] + terms[2]).cast(_WIDE)
+
+    placed = placed.withColumns({n: whole(n) for n in ("_upper", "_lower")})
+    parts = {n: F.col(f"_{n}") for n in parts}
+    parts |= _windows(F.col("_place"), F.col("_upper"), F.col("_lower"), _WIDE)
+    state = _state(parts, F.lit(None), _over(None))
+    return placed.groupBy(*keys).agg(_total(state).alias(name))
+
+
 def exact_avg(c: str | Column, window: WindowSpec | None = None, reach: str = NEAR) -> Column:
     count = _over(window)(F.count(col(c)))
     return exact_sum(c, window, reach) / F.nullif(count, F.lit(0))

@@ -16,7 +16,7 @@ from skyledger.functions.numbers import (
     to_double,
     to_whole,
 )
-from skyledger.functions.sums import EVERY, exact_avg, exact_sum, merge_states, state_sum, sum_state
+from skyledger.functions.sums import EVERY, exact_avg, exact_sum, exact_sum_by, merge_states, state_sum, sum_state
 from skyledger.functions.text import blank_to_null, slug, sql_tidy, sql_trim, strip
 from skyledger.operators.cleaning import normalize_list
 
@@ -164,6 +164,21 @@ def test_exact_sum_of_every_double_equals_fsum(spark):
     assert dict(merged.select("g", state_sum("s", EVERY)).collect()) == expected
 
 
+def test_exact_sum_by_group_equals_fsum_and_adds_few_columns_per_value(spark):
+    expected, rows = mixed_doubles(3)
+    rows += [(None, 1e300), (None, 1e-300), (None, -1e300), (-1, None), (-2, math.inf), (-2, 1.0), (-3, math.inf), (-3, -math.inf)]
+    expected |= {None: 1e-300, -1: None, -2: math.inf}
+    df = spark.createDataFrame(rows, "g int, v double").repartition(4)
+    summed = exact_sum_by(df, ["g"], "v", "s")
+    found = dict(summed.collect())
+    assert math.isnan(found.pop(-3)) and found == expected
+    assert exact_sum_by(df.where("g < -9"), [], "v", "s").collect() == [(None,)]
+    assert exact_sum_by(df.where("g = 0"), [], "v", "s").collect() == [(expected[0],)]
+    # Values themselves are added up per place, in 13 columns, and not in 43.
+    first = summed._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [")[-1]
+    assert "_place" in first and first.count("sum(") <= 13
+
+
 def test_exact_sum_of_amounts_equals_fsum(spark):
     rnd = random.Random(2)
     sets = {g: [rnd.choice([-1, 1]) * rnd.random() * 10.0 ** rnd.randint(-8, 18) for _ in range(200)] for g in range(40)}
