@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -74,9 +75,17 @@ def gathered(batches: Iterator[pa.RecordBatch], n_bytes: int) -> Iterator[pa.Rec
         yield pa.concat_batches(held)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+
+
 def release_memory() -> None:
-    """Give freed buffers back to the machine; a worker lives on through all tasks of a stage."""
+    """Give freed buffers back to the machine; a worker lives on through all tasks of a stage.
+
+    Arrow and the C library (numpy's arrays, Python's large objects) each keep what was freed.
+    """
     pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
 
 
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
