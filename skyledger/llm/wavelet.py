@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyledger.llm.storage import WholeFile, file_system, gathered, spread, stored
-from skyledger.llm.tokens import ID, encoder
+from skyledger.llm.tokens import GATHERED_BYTES, ID, encoder
 from skyledger.operators.shared import scratch_path
 
 MAGIC = b"SLWM0001"
@@ -38,17 +38,24 @@ MANIFEST = "part int, shard int, path string, n_docs bigint, n_tokens bigint"
 DOCUMENTS = "doc_id bigint, part int, shard int, start bigint, n_tokens bigint, ids binary"
 
 
+def _places(bits: np.ndarray, n: int) -> Iterator[np.ndarray]:
+    """Places of the zeros and then of the ones; places are moved faster than by a mask."""
+    ones = np.unpackbits(bits, count=n, bitorder="little").view(bool)
+    yield np.flatnonzero(~ones)
+    yield np.flatnonzero(ones)
+
+
 def build(ids: np.ndarray, levels: int) -> tuple[list[np.ndarray], list[int]]:
     """Packed bits and number of zeros of each level."""
-    rest = ids.astype(np.uint16 if levels <= 16 else np.uint32)
+    kind = np.uint16 if levels <= 16 else np.uint32
+    rest = ids.astype(kind)
     planes, zeros = [], []
     for level in range(levels):
-        ones = (rest >> (levels - 1 - level) & 1).view(np.uint16 if levels <= 16 else np.uint32)
-        ones = ones.astype(bool)
-        planes.append(np.packbits(ones, bitorder="little"))
-        left = rest[~ones]
+        bits = np.packbits(rest & kind(1 << (levels - 1 - level)) != 0, bitorder="little")
+        left, right = (rest.take(places) for places in _places(bits, len(rest)))
+        planes.append(bits)
         zeros.append(len(left))
-        rest = np.concatenate((left, rest[ones]))
+        rest = np.concatenate((left, right))
     return planes, zeros
 
 
@@ -58,10 +65,11 @@ def unbuild(planes: list[np.ndarray], zeros: list[int], n: int) -> np.ndarray:
     kind = np.uint16 if levels <= 16 else np.uint32
     below = np.zeros(n, kind)
     for level in reversed(range(levels)):
-        ones = np.unpackbits(planes[level], count=n, bitorder="little").astype(bool)
-        here = np.empty(n, kind)
-        here[~ones] = below[: zeros[level]]
-        here[ones] = below[zeros[level] :] | kind(1 << (levels - 1 - level))
+        below[zeros[level] :] |= kind(1 << (levels - 1 - level))
+        here, at = np.empty(n, kind), 0
+        for places in _places(planes[level], n):
+            here[places] = below[at : at + len(places)]
+            at += len(places)
         below = here
     return below.astype(ID)
 
@@ -210,9 +218,6 @@ class WaveletFile:
         return unbuild(planes, self.zeros, self.n)
 
 
-GATHERED_BYTES = 12 << 20  # small batches are encoded together, which shares their words
-
-
 def _writer(tokenizer: str, end_id: int, folder: str, shard_tokens: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard = TaskContext.get().partitionId(), 0
