@@ -26,8 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyledger.llm.storage import stored
-from skyledger.llm.tokens import ID, encoder
+from skyledger.llm.storage import gathered, stored
+from skyledger.llm.tokens import GATHERED_BYTES, ID, encoder
 
 SEQUENCE = 4096
 BROADCAST_ROWS = 1_000_000  # bases of two numbers and a length each: at most 30 MB
@@ -108,7 +108,7 @@ def _cutter(tokenizer: str, end_id: int, capacity: int) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         tokens = encoder(tokenizer)
-        for batch in batches:
+        for batch in gathered(batches, GATHERED_BYTES):
             keys = batch.column("doc_id")
             for at, ids, sizes in tokens.encode_in_slices(batch.column("text")):
                 ids = np.insert(ids, np.cumsum(sizes), end_id).astype(ID)

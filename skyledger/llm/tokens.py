@@ -20,10 +20,10 @@ from tokenizers import Tokenizer
 from skyledger.llm.storage import release_memory
 
 ID = np.dtype("<u4")
-REMEMBERED = 600_000  # distinct pieces kept per Python worker, none of which is longer than
+REMEMBERED = 400_000  # distinct pieces kept per Python worker, none of which is longer than
 REMEMBERED_LENGTH = 64
 SLICE_BYTES = 8 << 20  # texts encoded together
-GATHERED_BYTES = 12 << 20  # small batches are encoded together, which shares their words
+GATHERED_BYTES = 6 << 20  # small batches are encoded together, which shares their words
 #: ASCII punctuation, which no normal form joins to a letter.
 _MARK = re.compile(r"[!-/:-@\[-`{-~]")
 #: Letters and digits whose forms stay letters and digits, of one or two bytes.

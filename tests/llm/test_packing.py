@@ -5,6 +5,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -81,3 +82,41 @@ def test_documents_are_packed_without_gaps(spark, capacity):
 
 def test_empty_table(spark):
     assert packing.pack_documents(frame(spark, []), PATH).collect() == []
+
+
+def test_small_batches_are_encoded_together(monkeypatch):
+    calls = []
+
+    class Counted(Encoder):
+        def encode(self, texts):
+            calls.append(len(texts))
+            return super().encode(texts)
+
+    class Task:
+        get = classmethod(lambda cls: cls())
+        partitionId = lambda self: 3
+
+    monkeypatch.setattr(packing, "TaskContext", Task)
+    monkeypatch.setattr(packing, "encoder", Counted)
+    texts = ["one two", None, "", "three " * 30, "one two"] * 8
+    batches = [
+        pa.RecordBatch.from_pydict({"doc_id": pa.array([i], pa.int64()), "text": pa.array([text], pa.string())})
+        for i, text in enumerate(texts)
+    ]
+    cut = packing._cutter(PATH, 1, 8)
+    pieces = [p for batch in cut(iter(batches)) for p in batch.to_pylist()]
+    assert calls == [len(texts)]
+    plain = Encoder(PATH)
+    seen = {}
+    at = 0
+    for i, text in enumerate(texts):
+        ids = [*plain.ids(text or "").tolist(), 1]
+        for k, start in enumerate(range(0, len(ids), 8)):
+            part = ids[start : start + 8]
+            assert pieces[at] == {
+                "doc_id": i, "piece": k, "start": start, "length": len(part),
+                "ids": np.array(part, ID).tobytes(), "part": 3, "nth": seen.get(len(part), 0),
+            }
+            seen[len(part)] = seen.get(len(part), 0) + 1
+            at += 1
+    assert at == len(pieces)
